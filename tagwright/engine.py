@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -10,6 +11,7 @@ from tagwright.functions.tags import tags_json, validated, with_tags
 from tagwright.operators import labels as label_ops
 from tagwright.operators import ledger, quality, stats
 from tagwright.operators.ordering import OrderedRows, order_rows
+from tagwright.operators.spread import HotKeys, find_hot_keys
 from tagwright.sources import files
 from tagwright.sources.tables import create_views, load_tables
 
@@ -44,13 +46,25 @@ class LabelEngine:
     def create_views(self) -> None:
         create_views(self.tables)
 
+    # -- hot keys, looked up once for all reports of this engine ---------------
+
+    @cached_property
+    def hot_fact_keys(self) -> HotKeys:
+        return find_hot_keys(self.verified, label_ops.FACT_KEYS)
+
+    @cached_property
+    def hot_addresses(self) -> HotKeys:
+        return find_hot_keys(self.deployments, ["address"])
+
     # -- reports ------------------------------------------------------------
 
     def table_counts(self) -> DataFrame:
         return stats.table_counts(self.tables)
 
     def match_totals(self) -> DataFrame:
-        return stats.match_totals(self.verified, self.deployments, self.compilations)
+        return stats.match_totals(
+            self.verified, self.deployments, self.compilations, self.hot_fact_keys
+        )
 
     def join_match_counts(self) -> DataFrame:
         return stats.join_match_counts(self.match_totals())
@@ -83,16 +97,19 @@ class LabelEngine:
             self.verifier,
             drop_zero_address=self.drop_zero_address,
             carry=carry,
+            hot=self.hot_fact_keys,
         )
 
     def unsent_labels(self, state: DataFrame) -> DataFrame:
-        return self.labels(ledger.unsent_deployments(self.deployments, state))
+        return self.labels(ledger.unsent_deployments(self.deployments, state, self.hot_addresses))
 
     def already_sent_labels(self, state: DataFrame) -> DataFrame:
-        return self.labels(ledger.sent_deployments(self.deployments, state))
+        return self.labels(ledger.sent_deployments(self.deployments, state, self.hot_addresses))
 
     def labels_with_delivery(self, state: DataFrame, results: DataFrame) -> DataFrame:
-        deployed = ledger.deployments_with_delivery(self.deployments, state, results)
+        deployed = ledger.deployments_with_delivery(
+            self.deployments, state, results, self.hot_addresses
+        )
         return self.labels(deployed, carry=ledger.DELIVERY_COLUMNS)
 
     def page(self, limit: int = 100_000, offset: int = 0) -> DataFrame:

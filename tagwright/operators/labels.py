@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from tagwright.functions.columns import prefixed_hex
 from tagwright.functions.tags import raw_tag_struct
 from tagwright.operators.ordering import order_rows
-from tagwright.operators.spread import ROWS_PER_SLOT, spread_join
+from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
 
 ZERO_ADDRESS = bytes(20)
 
+# Join keys of the fact table, watched for hot values.
+FACT_KEYS = ("deployment_id", "compilation_id")
+
 # Rows a top-k page may keep in memory per task; a deeper page is read by position.
 MAX_TOP_K = 100_000
 
@@ -52,13 +55,16 @@ def joined(
     *,
     drop_zero_address: bool = True,
     carry: Sequence[str] = (),
-    rows_per_slot: int = ROWS_PER_SLOT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Verified contracts with their deployment and compilation.
 
     Both dimensions are filtered and pruned before their join. ``carry`` names
-    further deployment columns to pass through.
+    further deployment columns to pass through; ``hot`` are the hot values of
+    the fact table's keys, looked up here unless given.
     """
+    if hot is None:
+        hot = find_hot_keys(verified, FACT_KEYS)
     fact = verified.select("id", "deployment_id", "compilation_id", "created_at")
     deployed = located_deployments(deployments, drop_zero_address).select(
         F.col("id").alias("deployment_id"),
@@ -72,7 +78,7 @@ def joined(
     compiled = compilations.filter(F.col("language").isNotNull()).select(
         F.col("id").alias("compilation_id"), "language", "compiler", "version", "name"
     )
-    spread = {"spread_by": ["id"], "hot_from": verified, "rows_per_slot": rows_per_slot}
+    spread = {"hot": hot, "spread_by": ["id"]}
     with_deployment = spread_join(fact, deployed, ["deployment_id"], **spread)
     return spread_join(with_deployment, compiled, ["compilation_id"], **spread)
 
@@ -85,7 +91,7 @@ def label_rows(
     *,
     drop_zero_address: bool = True,
     carry: Sequence[str] = (),
-    rows_per_slot: int = ROWS_PER_SLOT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One label per verified contract. ``verifier`` is the value of the
     ``source_code_verified`` tag."""
@@ -95,7 +101,7 @@ def label_rows(
         compilations,
         drop_zero_address=drop_zero_address,
         carry=carry,
-        rows_per_slot=rows_per_slot,
+        hot=hot,
     )
     return rows.select(
         F.col("id").alias("verified_contract_id"),

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagwright.functions.columns import one_line, percentage, prefixed_hex
-from tagwright.operators.spread import ROWS_PER_SLOT, spread_join
+from tagwright.functions.columns import one_line, percentage
+from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
 
 SUCCESS, FAILED, PENDING = "success", "failed", "pending"
 VALIDATION_ERROR = "Validation failed"
@@ -62,100 +62,76 @@ def _in_last_hour(as_of):
 # -- labels against the ledger ----------------------------------------------
 
 
-def _keyed(labels: DataFrame) -> DataFrame:
-    return labels.withColumn("_address", F.lower("address")).withColumn(
-        "_chain", F.col("chain_id")
-    )
-
-
-def _join_keys(keys: DataFrame) -> DataFrame:
-    return keys.select(F.col("address").alias("_address"), F.col("chain_id").alias("_chain"))
-
-
-def _against_sent(labels, state, how, row_id, rows_per_slot):
-    return spread_join(
-        _keyed(labels),
-        _join_keys(sent_keys(state)),
-        ["_address", "_chain"],
-        how,
-        spread_by=[row_id],
-        rows_per_slot=rows_per_slot,
-    ).select(*labels.columns)
-
-
 def unsent(
-    labels: DataFrame,
-    state: DataFrame,
-    row_id: str = "verified_contract_id",
-    rows_per_slot: int = ROWS_PER_SLOT,
+    labels: DataFrame, state: DataFrame, row_id: str = "verified_contract_id"
 ) -> DataFrame:
     """Labels whose key was not delivered yet. Meant for a stored label table;
     straight from the three tables, filter the deployments instead."""
-    return _against_sent(labels, state, "left_anti", row_id, rows_per_slot)
+    return _against_sent(labels, state, "left_anti", row_id)
 
 
 def already_sent(
-    labels: DataFrame,
-    state: DataFrame,
-    row_id: str = "verified_contract_id",
-    rows_per_slot: int = ROWS_PER_SLOT,
+    labels: DataFrame, state: DataFrame, row_id: str = "verified_contract_id"
 ) -> DataFrame:
     """Labels whose key was delivered: the rows a run skips."""
-    return _against_sent(labels, state, "left_semi", row_id, rows_per_slot)
-
-
-def _with_key(deployments: DataFrame) -> DataFrame:
-    return deployments.filter(
-        F.col("chain_id").isNotNull() & F.col("address").isNotNull()
-    ).select(
-        "*",
-        F.lower(prefixed_hex(F.col("address"))).alias("_address"),
-        F.col("chain_id").alias("_chain"),
-    )
+    return _against_sent(labels, state, "left_semi", row_id)
 
 
-def _join_deployments(deployments, keyed, how, rows_per_slot):
+def _against_sent(labels: DataFrame, state: DataFrame, how: str, row_id: str) -> DataFrame:
+    keyed = labels.withColumn("_address", F.lower("address"))
+    keys = sent_keys(state).withColumnRenamed("address", "_address")
     return spread_join(
-        _with_key(deployments),
         keyed,
-        ["_address", "_chain"],
+        keys,
+        ["_address", "chain_id"],
         how,
-        spread_by=["id"],
-        rows_per_slot=rows_per_slot,
+        hot=find_hot_keys(keyed, ["_address"]),
+        spread_by=[row_id],
+    ).select(*labels.columns)
+
+
+def _binary_key(keys: DataFrame) -> DataFrame:
+    """Ledger rows with the address as the bytes it stands for, so that
+    deployments are compared as they are stored."""
+    digits = F.substring("address", 3, 1_000)
+    whole = F.col("address").startswith("0x") & (F.length("address") % 2 == 0)
+    return keys.withColumn("address", F.when(whole, F.unhex(digits)))
+
+
+def _join_deployments(
+    deployments: DataFrame, keyed: DataFrame, how: str, hot: HotKeys | None
+) -> DataFrame:
+    """The key of a label comes from its deployment alone, so the ledger meets
+    the deployments before the fact table is joined: fewer, narrower rows."""
+    if hot is None:
+        hot = find_hot_keys(deployments, ["address"])
+    return spread_join(
+        deployments, _binary_key(keyed), list(KEY), how, hot=hot, spread_by=["id"]
     )
 
 
 def unsent_deployments(
-    deployments: DataFrame, state: DataFrame, rows_per_slot: int = ROWS_PER_SLOT
+    deployments: DataFrame, state: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Deployments whose key was not delivered.
-
-    The key of a label comes from its deployment alone, so delivered ones can go
-    before the fact table is joined: fewer and narrower rows to compare, and
-    nothing delivered is joined at all.
-    """
-    keys = _join_keys(sent_keys(state))
-    return _join_deployments(deployments, keys, "left_anti", rows_per_slot).select(
-        *deployments.columns
-    )
+    """Deployments whose key was not delivered."""
+    joined = _join_deployments(deployments, sent_keys(state), "left_anti", hot)
+    return joined.select(*deployments.columns)
 
 
 def sent_deployments(
-    deployments: DataFrame, state: DataFrame, rows_per_slot: int = ROWS_PER_SLOT
+    deployments: DataFrame, state: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    keys = _join_keys(sent_keys(state))
-    return _join_deployments(deployments, keys, "left_semi", rows_per_slot).select(
-        *deployments.columns
-    )
+    joined = _join_deployments(deployments, sent_keys(state), "left_semi", hot)
+    return joined.select(*deployments.columns)
 
 
 def deployments_with_sent(
-    deployments: DataFrame, keys: DataFrame, rows_per_slot: int = ROWS_PER_SLOT
+    deployments: DataFrame, keys: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Deployments with ``already_sent``: is their key among ``keys``, which hold
     each (address, chain_id) once."""
-    marked = _join_keys(keys).withColumn("_sent", F.lit(True))
-    return _join_deployments(deployments, marked, "left", rows_per_slot).select(
+    marked = keys.withColumn("_sent", F.lit(True))
+    return _join_deployments(deployments, marked, "left", hot).select(
         *deployments.columns, F.coalesce("_sent", F.lit(False)).alias("already_sent")
     )
 
@@ -165,11 +141,10 @@ def latest_results(results: DataFrame) -> DataFrame:
     ``error_message``; the last one by ``seq`` when several came back."""
     rest = F.struct("status", "uid", "tx_hash", "error_message", "reported_at")
     return (
-        results.groupBy(F.lower("address").alias("_address"), F.col("chain_id").alias("_chain"))
+        results.groupBy(F.lower("address").alias("address"), "chain_id")
         .agg(F.max_by(rest, "seq").alias("_result"))
         .select(
-            "_address",
-            "_chain",
+            *KEY,
             F.col("_result.status").alias("result_status"),
             F.col("_result.uid").alias("result_uid"),
             F.col("_result.tx_hash").alias("result_tx_hash"),
@@ -190,20 +165,14 @@ DELIVERY_COLUMNS = (
 
 
 def deployments_with_delivery(
-    deployments: DataFrame,
-    state: DataFrame,
-    results: DataFrame,
-    rows_per_slot: int = ROWS_PER_SLOT,
+    deployments: DataFrame, state: DataFrame, results: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Deployments with ``already_sent`` and their delivery result, to be carried
     into the label rows. Ledger and results meet by key first, so the
     deployments are shuffled once."""
-    outcome = (
-        _join_keys(sent_keys(state))
-        .withColumn("_sent", F.lit(True))
-        .join(latest_results(results), ["_address", "_chain"], "full")
-    )
-    return _join_deployments(deployments, outcome, "left", rows_per_slot).select(
+    sent = sent_keys(state).withColumn("_sent", F.lit(True))
+    outcome = sent.join(latest_results(results), list(KEY), "full")
+    return _join_deployments(deployments, outcome, "left", hot).select(
         *deployments.columns,
         F.coalesce("_sent", F.lit(False)).alias("already_sent"),
         *DELIVERY_COLUMNS[1:],

@@ -4,29 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Rows of one key that a single task should get. A key above it is spread over
 # several tasks; AQE's skew join takes care of what lies below.
 ROWS_PER_SLOT = 2_000_000
 
+HotKeys = dict[str, DataFrame]
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_slot: int) -> DataFrame:
-    """Keys with more than ``rows_per_slot`` rows and the slots each one needs.
 
-    At most ``count(rows) / rows_per_slot`` keys can qualify, so the result is
-    small enough to broadcast whatever the size of ``rows`` (10^12 rows: 500,000
-    short records at most). Counting pre-aggregates before its shuffle, so a hot
-    key is one row per map task.
+def find_hot_keys(
+    rows: DataFrame, keys: Sequence[str], rows_per_slot: int = ROWS_PER_SLOT
+) -> HotKeys:
+    """Values of each key column with more than ``rows_per_slot`` rows, and the
+    slots each of them needs. Columns without such a value have no entry.
+
+    One narrow scan counts all columns at once, combining on the map side, so a
+    hot value is one row per task. At most ``count(rows) / rows_per_slot`` values
+    per column can qualify: that bounds what reaches the driver, and later the
+    broadcast (10^12 rows: 500,000 short records at the very most).
     """
-    return (
+    spark = rows.sparkSession
+    counted = (
         rows.select(*keys)
-        .dropna()
-        .groupBy(*keys)
+        .groupingSets([[F.col(k)] for k in keys], *keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_slot)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_slot)).cast("int").alias("_slots"))
     )
+    found = counted.collect()
+    hot = {}
+    for key in keys:
+        # A missing key matches nothing; it needs no slots.
+        values = [(r[key], -(-r["_n"] // rows_per_slot)) for r in found if r[key] is not None]
+        if values:
+            schema = rows.select(key).schema.add("_slots", "int")
+            hot[key] = spark.createDataFrame(values, schema)
+    return hot
 
 
 def spread_join(
@@ -35,42 +48,42 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     *,
+    hot: HotKeys,
     spread_by: Sequence[str],
-    hot_from: DataFrame | None = None,
-    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
-    """``left`` joined to ``right`` on ``on``, the rows of hot left keys spread.
+    """``left`` joined to ``right`` on ``on``, spreading the left rows that hold a
+    hot value in the first of these columns.
 
-    A hot key's left rows go to one of its slots by a hash of ``spread_by`` (a
-    stable choice, so a recomputed task places rows alike); the few right rows
-    of that key are repeated per slot. Every pair meets exactly once, so inner,
-    left, semi and anti joins keep their results. ``hot_from`` names a cheaper
-    relation to count keys on, typically the base table below ``left``.
+    Without hot values this is the plain join. Otherwise a hot value's left rows
+    go to one of its slots by a hash of ``spread_by`` (a stable choice, so a
+    recomputed task places rows alike), and the few right rows of that value are
+    repeated per slot. Every pair meets exactly once, so inner, left, semi and
+    anti joins keep their results.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, on, rows_per_slot))
+    key = on[0]
+    if key not in hot:
+        return left.join(right, on, how)
+    values = F.broadcast(hot[key])
     last_slot = F.coalesce(F.col("_slots"), F.lit(1)) - 1
     slotted_left = (
-        left.join(hot, on, "left")
-        .withColumn("_slot", _left_slot(on, spread_by))
+        left.join(values, key, "left")
+        .withColumn("_slot", _left_slot(key, spread_by))
         .drop("_slots")
     )
     slotted_right = (
-        right.join(hot, on, "left")
+        right.join(values, key, "left")
         .withColumn("_slot", F.explode(F.sequence(F.lit(0), last_slot)))
         .drop("_slots")
     )
     return slotted_left.join(slotted_right, [*on, "_slot"], how).drop("_slot")
 
 
-def _left_slot(on: Sequence[str], spread_by: Sequence[str]):
+def _left_slot(key: str, spread_by: Sequence[str]) -> Column:
     row_hash = F.xxhash64(*spread_by)
-    some_null = F.lit(False)
-    for key in on:
-        some_null = some_null | F.col(key).isNull()
     # Rows without a key match nothing; any slot is right, so they spread widely.
     free = F.pmod(row_hash, F.lit(1_000_003)).cast("int")
     hot = F.pmod(row_hash, F.col("_slots")).cast("int")
-    return F.when(some_null, free).otherwise(F.coalesce(hot, F.lit(0)))
+    return F.when(F.col(key).isNull(), free).otherwise(F.coalesce(hot, F.lit(0)))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagwright.functions.columns import percentage
-from tagwright.operators.spread import ROWS_PER_SLOT, spread_join
+from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
 
 # Shares below which a check warns.
 JOIN_HEALTH_SHARE = 0.8
@@ -82,7 +82,7 @@ def match_totals(
     verified: DataFrame,
     deployments: DataFrame,
     compilations: DataFrame,
-    rows_per_slot: int = ROWS_PER_SLOT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All join and completeness counts in one row and one pass.
 
@@ -90,6 +90,8 @@ def match_totals(
     weighted by how many of their rows qualify. Repeated dimension ids therefore
     count as often as a plain join would return them.
     """
+    if hot is None:
+        hot = find_hot_keys(verified, ["deployment_id"])
     located = F.col("address").isNotNull()
     flags = deployments.filter(F.col("chain_id").isNotNull()).select(
         F.col("id").alias("deployment_id"),
@@ -103,9 +105,8 @@ def match_totals(
         verified.select("id", "deployment_id", "compilation_id"),
         flags,
         ["deployment_id"],
+        hot=hot,
         spread_by=["id"],
-        hot_from=verified,
-        rows_per_slot=rows_per_slot,
     ).select(
         "compilation_id",
         F.lit(0).cast("long").alias("n_verified"),

@@ -182,14 +182,13 @@ def record_results(
     """
     outbox = store.read_batch("outbox", run_id, batch_id, attempt).select(
         F.col("address").alias("_shown"),
-        F.lower("address").alias("_address"),
-        F.col("chain_id").alias("_chain"),
+        F.lower("address").alias("address"),
+        F.col("chain_id").cast("long").alias("chain_id"),
         "tags_json",
     )
-    outcome = outbox.join(ledger.latest_results(results), ["_address", "_chain"]).select(
+    outcome = outbox.join(ledger.latest_results(results), list(ledger.KEY)).select(
         "_shown",
-        F.col("_address").alias("address"),
-        F.col("_chain").cast("long").alias("chain_id"),
+        *ledger.KEY,
         F.col("result_status").alias("status"),
         F.col("reported_at").cast("timestamp_ntz").alias("attempted_at"),
         F.col("result_tx_hash").alias("tx_hash"),
@@ -212,14 +211,11 @@ def retry_failures(store: DeliveryStore, run_id: int, batch_id: int, at: datetim
     n_failed = failed.count() + processed.filter(~F.col("valid")).count()
     if not 0 < n_failed < n_processed * RETRY_SHARE:
         return False
-    keys = failed.select(
-        F.col("address").alias("_address"), F.col("chain_id").alias("_chain")
-    )
-    outbox = store.read_batch("outbox", run_id, batch_id)
+    keys = failed.select(F.col("address").alias("_address"), "chain_id")
     again = (
-        outbox.withColumn("_address", F.lower("address"))
-        .withColumn("_chain", F.col("chain_id"))
-        .join(keys, ["_address", "_chain"], "left_semi")
+        store.read_batch("outbox", run_id, batch_id)
+        .withColumn("_address", F.lower("address"))
+        .join(keys, ["_address", "chain_id"], "left_semi")
         .select(*OUTBOX_COLUMNS)
     )
     stored = store.write_batch("outbox", again, run_id, batch_id, attempt=2)
