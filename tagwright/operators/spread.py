@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from tagwright.session import estimated_bytes
+
+# A relation below this estimated size is not searched for hot values: even all
+# of it is a fair load for one task.
+SMALL_BYTES = 64 * 1024 * 1024
 
 # Rows of one key that a single task should get. A key above it is spread over
 # several tasks; AQE's skew join takes care of what lies below.
@@ -14,7 +20,10 @@ HotKeys = dict[str, DataFrame]
 
 
 def find_hot_keys(
-    rows: DataFrame, keys: Sequence[str], rows_per_slot: int = ROWS_PER_SLOT
+    rows: DataFrame,
+    keys: Sequence[str],
+    rows_per_slot: int = ROWS_PER_SLOT,
+    small_bytes: int = SMALL_BYTES,
 ) -> HotKeys:
     """Values of each key column with more than ``rows_per_slot`` rows, and the
     slots each of them needs. Columns without such a value have no entry.
@@ -24,6 +33,8 @@ def find_hot_keys(
     per column can qualify: that bounds what reaches the driver, and later the
     broadcast (10^12 rows: 500,000 short records at the very most).
     """
+    if estimated_bytes(rows) < small_bytes:
+        return {}
     spark = rows.sparkSession
     counted = (
         rows.select(*keys)
@@ -37,7 +48,7 @@ def find_hot_keys(
         # A missing key matches nothing; it needs no slots.
         values = [(r[key], -(-r["_n"] // rows_per_slot)) for r in found if r[key] is not None]
         if values:
-            schema = rows.select(key).schema.add("_slots", "int")
+            schema = rows.select(key).schema.add("_slots", T.IntegerType())
             hot[key] = spark.createDataFrame(values, schema)
     return hot
 

@@ -7,13 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the jobs are written for. AQE sizes the shuffles; partitions
-# start high so that a large stage can be coalesced rather than spilled.
+# Settings the jobs are meant for. Broadcasts are left to AQE, which knows the
+# measured size of a side; the planner's estimate alone never picks one. Joins
+# whose measured partitions are small hash instead of sorting.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -60,3 +64,9 @@ def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, which starts from file sizes: filters do
+    not lower it and joins multiply it, so it errs on the large side."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -7,6 +7,7 @@ A listing has ``table_name, file_name, path, length``; manifest files have
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -43,7 +44,7 @@ def file_listing(spark: SparkSession, data_dir: str) -> DataFrame:
     has zero bytes.
     """
     files = _files(spark, data_dir)
-    names = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    names = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path string")
     sizes = as_listing(files.select("path", "length")).select("table_name", "file_name", "length")
     listed = as_listing(names.filter(_in_table_folder(data_dir)).withColumn("length", F.lit(0)))
     return (
