@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tagwright.functions.tags import tags_json, validated, with_tags
 from tagwright.operators import ledger
 from tagwright.operators.batching import RETRY_SHARE
 from tagwright.operators.labels import label_rows, one_per_key
+from tagwright.operators.spread import HotKeys, find_hot_keys
 from tagwright.streaming.progress import ProgressLog
 from tagwright.streaming.store import DeliveryStore
 
@@ -64,6 +66,10 @@ class DeliveryRun:
     def __post_init__(self) -> None:
         self.progress = ProgressLog(self.spark, self.store.path("progress"))
 
+    @cached_property
+    def hot_addresses(self) -> HotKeys:
+        return find_hot_keys(self.deployments, ["address"])
+
     def run(self) -> None:
         self.process_new_files()
         self.process_backlog()
@@ -119,13 +125,21 @@ class DeliveryRun:
         started = self.clock()
         rows = label_rows(
             verified,
-            ledger.deployments_with_sent(self.deployments, self.blocked_keys(batch_id)),
+            ledger.deployments_with_sent(
+                self.deployments, self.blocked_keys(batch_id), self.hot_addresses
+            ),
             self.compilations,
             self.verifier,
             carry=["already_sent"],
         )
         checked = validated(with_tags(rows), self.extra_check).withColumn("tags_json", tags_json())
-        stored = self.store.write_batch("labelled", checked, self.run_id, batch_id)
+        counts = Observation()
+        counted = checked.observe(
+            counts,
+            F.count_if("already_sent").alias("n_skipped"),
+            F.count_if(~F.col("already_sent")).alias("n_processed"),
+        )
+        stored = self.store.write_batch("labelled", counted, self.run_id, batch_id)
 
         fresh = stored.filter(~F.col("already_sent"))
         rejected = fresh.filter(~F.col("valid"))
@@ -138,23 +152,15 @@ class DeliveryRun:
         pending = _attempts(_without_result(outbox.withColumn("valid", F.lit(True))), at, 2)
         self.store.write_batch("attempts", failed.unionByName(pending), self.run_id, batch_id)
         self.store.write_failures(_rejections(rejected, at), self.run_id, batch_id)
-        self._save_progress(stored, batch_id, started)
-
-    def _save_progress(self, stored: DataFrame, batch_id: int, started: datetime) -> None:
-        counts = stored.agg(
-            F.count_if("already_sent").alias("skipped"),
-            F.count_if(~F.col("already_sent")).alias("processed"),
-        ).first()
         self.progress.save(
             run_id=self.run_id,
             batch_id=batch_id,
             batch_num=batch_id + 1,
             batch_size=self.files_per_batch,
             offset=(batch_id + 1) * self.files_per_batch,
-            n_skipped=counts["skipped"],
-            n_processed=counts["processed"],
             started_at=started,
             finished_at=self.clock(),
+            **counts.get,
         )
 
 

@@ -5,12 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tagwright.operators import ledger
-from tagwright.streaming import delivery
 from tagwright.streaming.delivery import BACKLOG_BATCH, DeliveryRun, record_results, retry_failures
 from tagwright.streaming.progress import ProgressLog
 from tagwright.streaming.store import ATTEMPT_SCHEMA, DeliveryStore
-from tests.star import COMPILATIONS, DEPLOYMENTS, VERIFIED, as_dicts, expected_labels
+from tests.star import COMPILATIONS, DEPLOYMENTS, VERIFIED, Star, as_dicts, expected_labels
 
 NOW = dt.datetime(2024, 4, 1, 8, 0, 0)
 RESULTS = (
@@ -63,9 +61,19 @@ class Job:
 
 @pytest.fixture()
 def job(star, tmp_path):
+    """A job with one file of verified contracts."""
     made = Job(star, tmp_path)
+    made.add(VERIFIED)
+    return made
+
+
+@pytest.fixture(scope="module")
+def done(spark, tmp_path_factory):
+    """A finished run over two files, for tests that only look."""
+    made = Job(Star(spark), tmp_path_factory.mktemp("done"))
     made.add(VERIFIED[:7])
     made.add(VERIFIED[7:])
+    made.run(1).run()
     return made
 
 
@@ -76,37 +84,36 @@ def keys(rows):
 VALID = [r for r in expected_labels() if len(r["address"]) == 42]
 
 
-def test_run_writes_each_key_once(job):
-    job.run(1).run()
-    rows = job.outbox()
+def test_run_writes_each_key_once(done):
+    rows = done.outbox()
     assert keys(rows) == sorted({(r["address"].lower(), r["chain_id"]) for r in VALID})
     by_id = {r["verified_contract_id"] for r in rows}
     assert "v01" in by_id and "v02" not in by_id  # lowest id of the key
     assert all(r["tags"]["source_code_verified"] == "registry" for r in rows)
-    statuses = job.statuses()
+    statuses = done.statuses()
     assert statuses[("0xabcd", 1)] == "failed"  # never sent, validation failed
     assert sorted(statuses.values()) == ["failed", "pending", "pending", "pending"]
 
 
 def test_second_run_sends_nothing_after_success(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     for batch in {r["batch_id"] for r in job.outbox()}:
         rows = [r for r in job.outbox() if r["batch_id"] == batch]
         job.report(1, batch, [(r["address"], r["chain_id"], "success", None) for r in rows])
     assert sorted(job.statuses().values()) == ["failed", "success", "success", "success"]
     before = len(job.outbox())
     job.add([("w1", "d1", "c1", None), ("w2", "d2", "c2", None)])
-    job.run(2).run()
+    job.run(2).process_new_files()
     assert len(job.outbox()) == before
     last = job.run(3).progress.records().filter("run_id = 2 and not finished")
     assert last.agg(F.sum("n_skipped")).first()[0] == 2
 
 
 def test_pending_and_failed_keys_are_sent_again_by_a_later_run(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     first = keys(job.outbox())
     job.add([(f"x{i}", d, "c1", None) for i, d in enumerate(["d1", "d2", "d6"])])
-    job.run(2).run()
+    job.run(2).process_new_files()
     assert keys(job.outbox()) == sorted(first * 2)
 
 
@@ -114,11 +121,14 @@ def test_a_key_in_two_batches_of_one_run_is_sent_once(star, tmp_path):
     job = Job(star, tmp_path)
     job.add([("v1", "d1", "c1", None)])
     job.add([("v2", "d1", "c1", None)])
-    job.run(1).run()
+    job.run(1).process_new_files()
     assert len(job.outbox()) == 1
 
 
-def test_interrupted_batch_is_done_again_once(job, monkeypatch):
+def test_interrupted_batch_is_done_again_once(star, tmp_path, monkeypatch):
+    job = Job(star, tmp_path)
+    job.add(VERIFIED[:7])
+    job.add(VERIFIED[7:])
     run = job.run(1)
     write = job.store.write_failures
     calls = []
@@ -142,25 +152,25 @@ def test_interrupted_batch_is_done_again_once(job, monkeypatch):
 def test_backlog_takes_rows_whose_dimension_came_late(star, tmp_path):
     early = Job(star, tmp_path, deployments=[d for d in DEPLOYMENTS if d[0] != "d2"])
     early.add(VERIFIED)
-    early.run(1).run()
+    early.run(1).process_new_files()
     assert ("v03" in {r["verified_contract_id"] for r in early.outbox()}) is False
     late = Job(star, tmp_path)
-    late.run(2).run()
+    late.run(2).process_backlog()
     added = [r for r in late.outbox() if r["run_id"] == 2]
     assert [r["verified_contract_id"] for r in added] == ["v03"]
     assert {r["batch_id"] for r in added} == {BACKLOG_BATCH}
-    late.run(2).run()  # done again under the same number
+    late.run(2).process_backlog()  # done again under the same number
     assert len([r for r in late.outbox() if r["run_id"] == 2]) == 1
 
 
 def test_results_for_unknown_labels_are_ignored(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     job.report(1, 0, [("0x" + "77" * 20, 1, "success", None)])
     assert ("0x" + "77" * 20, 1) not in job.statuses()
 
 
 def test_results_recorded_twice_count_once(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     (first, *_) = [r for r in job.outbox() if r["batch_id"] == 0]
     row = (first["address"], first["chain_id"], "failed", 'no "gas",\nretry')
     job.report(1, 0, [row])
@@ -171,21 +181,20 @@ def test_results_recorded_twice_count_once(job):
     assert log[0]["address"] == first["address"]  # as given, not lower case
 
 
-def test_validation_failures_are_logged(job):
-    job.run(1).run()
-    (row,) = as_dicts(job.store.failures().filter("attempt = 0"))
+def test_validation_failures_are_logged(done):
+    (row,) = as_dicts(done.store.failures().filter("attempt = 0"))
     assert (row["address"], row["error_message"]) == ("0xABCD", "Validation failed")
 
 
 def test_external_check_keeps_labels_back(job):
     run = job.run(1, extra_check=lambda df: F.col("chain_id") == 10)
-    run.run()
+    run.process_new_files()
     assert {r["chain_id"] for r in job.outbox()} == {10}
 
 
 def test_valid_label_wins_over_an_invalid_one_of_its_key(job):
     run = job.run(1, extra_check=lambda df: F.col("code_language") == "vyper")
-    run.run()
+    run.process_new_files()
     assert [r["verified_contract_id"] for r in job.outbox()] == ["v02"]
     assert job.statuses()[("0x" + "ab" * 20, 1)] == "pending"
 
@@ -194,7 +203,7 @@ def many_keys(star, tmp_path, n):
     deployments = [(f"m{i}", 1, bytes([i + 1]) * 20, None, 1, None) for i in range(n)]
     job = Job(star, tmp_path, deployments=deployments)
     job.add([(f"v{i:02}", f"m{i}", "c1", None) for i in range(n)])
-    job.run(1).run()
+    job.run(1).process_new_files()
     return job
 
 
@@ -216,14 +225,14 @@ def test_failures_are_retried_once_below_ten_percent(star, tmp_path, n, failures
 
 
 def test_compaction_keeps_the_state(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     rows = [r for r in job.outbox() if r["batch_id"] == 0]
     job.report(1, 0, [(r["address"], r["chain_id"], "success", None) for r in rows])
     before = job.statuses()
     assert job.store.compact(through_run=1) == 1
     assert job.statuses() == before
     job.add([("y1", "d6", "c1", None), ("y2", "d8", "c1", None)])
-    job.run(2).run()
+    job.run(2).process_new_files()
     after = job.statuses()
     assert after[("0x" + "08" * 20, 1)] == "pending"
     assert job.store.compact(through_run=2) == 2
@@ -231,7 +240,7 @@ def test_compaction_keeps_the_state(job):
 
 
 def test_half_written_compaction_changes_nothing(job):
-    job.run(1).run()
+    job.run(1).process_new_files()
     before = job.statuses()
     wrong = job.spark.createDataFrame([], ATTEMPT_SCHEMA)
     wrong.write.parquet(f"{job.root}/store/ledger/version=1")
@@ -257,9 +266,14 @@ def test_progress_save_load_clear(spark, tmp_path):
     assert log.load()["run_id"] == 2
 
 
-def test_attempt_columns_are_the_ledger(job):
-    job.run(1).run()
-    row = job.store.attempts().filter("status = 'pending'").first()
+def test_attempts_carry_time_and_tags(done):
+    row = done.store.attempts().filter("status = 'pending'").first()
     assert row["attempted_at"] == NOW and row["tags_json"].startswith("{")
-    assert delivery.OUTBOX_COLUMNS[0] == "verified_contract_id"
-    assert set(ledger.KEY) < set(job.store.state().columns)
+
+
+def test_finished_run_leaves_nothing_to_resume(done):
+    progress = done.run(1).progress
+    assert progress.load() is None
+    batches = progress.records().filter("not finished").orderBy("batch_num").collect()
+    assert [r["batch_id"] for r in batches] == [0, 1, BACKLOG_BATCH]
+    assert sum(r["n_processed"] for r in batches) == len(expected_labels())
