@@ -100,15 +100,15 @@ class LabelEngine:
             hot=self.hot_fact_keys,
         )
 
-    def unsent_labels(self, state: DataFrame) -> DataFrame:
-        return self.labels(ledger.unsent_deployments(self.deployments, state, self.hot_addresses))
+    def unsent_labels(self, sent: DataFrame) -> DataFrame:
+        return self.labels(ledger.unsent_deployments(self.deployments, sent, self.hot_addresses))
 
-    def already_sent_labels(self, state: DataFrame) -> DataFrame:
-        return self.labels(ledger.sent_deployments(self.deployments, state, self.hot_addresses))
+    def already_sent_labels(self, sent: DataFrame) -> DataFrame:
+        return self.labels(ledger.sent_deployments(self.deployments, sent, self.hot_addresses))
 
-    def labels_with_delivery(self, state: DataFrame, results: DataFrame) -> DataFrame:
+    def labels_with_delivery(self, sent: DataFrame, results: DataFrame) -> DataFrame:
         deployed = ledger.deployments_with_delivery(
-            self.deployments, state, results, self.hot_addresses
+            self.deployments, sent, results, self.hot_addresses
         )
         return self.labels(deployed, carry=ledger.DELIVERY_COLUMNS)
 

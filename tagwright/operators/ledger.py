@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagwright.functions.columns import one_line, percentage
 from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
@@ -17,12 +17,21 @@ DETAILS = ("status", "attempted_at", "tx_hash", "error_message", "tags_json")
 REPORT_COLUMNS = ("address", "chain_id", "attempted_at", "error_message", "tags_json")
 
 
-def current_state(attempts: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
+def _order_column(order: Sequence[str]) -> Column:
+    """One sortable value; a single column stays as it is, which lets a
+    fixed-width one be aggregated by hash."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def current_state(
+    attempts: DataFrame, order: Sequence[str] = ("seq",), details: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key: its latest attempt by ``order``, which must be unique
     per key. Aggregated on the map side, so a key that is retried without end
-    does not pile up in one task."""
-    rest = [c for c in attempts.columns if c not in KEY]
-    latest = F.max_by(F.struct(*rest), F.struct(*order))
+    does not pile up in one task. ``details`` limits the columns that are read
+    and carried; all of them otherwise."""
+    kept = [c for c in attempts.columns if c not in KEY] if details is None else list(details)
+    latest = F.max_by(F.struct(*kept), _order_column(order))
     return (
         attempts.groupBy(F.lower("address").alias("address"), "chain_id")
         .agg(latest.alias("_latest"))
@@ -35,6 +44,18 @@ def sent_keys(state: DataFrame) -> DataFrame:
     return state.filter(F.col("status") == SUCCESS).select(*KEY)
 
 
+def sent_keys_of(attempts: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """The same keys straight from the attempts: reads key, status and order
+    only, and keeps one flag per key."""
+    last_ok = F.max_by(F.col("status") == SUCCESS, _order_column(order))
+    return (
+        attempts.groupBy(F.lower("address").alias("address"), "chain_id")
+        .agg(last_ok.alias("_sent"))
+        .filter("_sent")
+        .select(*KEY)
+    )
+
+
 def ledger_stats(state: DataFrame, as_of) -> DataFrame:
     """Totals per status, attempts in the hour before ``as_of``, success rate."""
     status = F.col("status")
@@ -63,23 +84,23 @@ def _in_last_hour(as_of):
 
 
 def unsent(
-    labels: DataFrame, state: DataFrame, row_id: str = "verified_contract_id"
+    labels: DataFrame, sent: DataFrame, row_id: str = "verified_contract_id"
 ) -> DataFrame:
-    """Labels whose key was not delivered yet. Meant for a stored label table;
-    straight from the three tables, filter the deployments instead."""
-    return _against_sent(labels, state, "left_anti", row_id)
+    """Labels whose key is not among the ``sent`` keys. Meant for a stored label
+    table; straight from the three tables, filter the deployments instead."""
+    return _against_sent(labels, sent, "left_anti", row_id)
 
 
 def already_sent(
-    labels: DataFrame, state: DataFrame, row_id: str = "verified_contract_id"
+    labels: DataFrame, sent: DataFrame, row_id: str = "verified_contract_id"
 ) -> DataFrame:
-    """Labels whose key was delivered: the rows a run skips."""
-    return _against_sent(labels, state, "left_semi", row_id)
+    """Labels whose key is among the ``sent`` keys: the rows a run skips."""
+    return _against_sent(labels, sent, "left_semi", row_id)
 
 
-def _against_sent(labels: DataFrame, state: DataFrame, how: str, row_id: str) -> DataFrame:
+def _against_sent(labels: DataFrame, sent: DataFrame, how: str, row_id: str) -> DataFrame:
     keyed = labels.withColumn("_address", F.lower("address"))
-    keys = sent_keys(state).withColumnRenamed("address", "_address")
+    keys = sent.withColumnRenamed("address", "_address")
     return spread_join(
         keyed,
         keys,
@@ -111,17 +132,17 @@ def _join_deployments(
 
 
 def unsent_deployments(
-    deployments: DataFrame, state: DataFrame, hot: HotKeys | None = None
+    deployments: DataFrame, sent: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Deployments whose key was not delivered."""
-    joined = _join_deployments(deployments, sent_keys(state), "left_anti", hot)
+    """Deployments whose key is not among the ``sent`` keys."""
+    joined = _join_deployments(deployments, sent, "left_anti", hot)
     return joined.select(*deployments.columns)
 
 
 def sent_deployments(
-    deployments: DataFrame, state: DataFrame, hot: HotKeys | None = None
+    deployments: DataFrame, sent: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    joined = _join_deployments(deployments, sent_keys(state), "left_semi", hot)
+    joined = _join_deployments(deployments, sent, "left_semi", hot)
     return joined.select(*deployments.columns)
 
 
@@ -165,13 +186,13 @@ DELIVERY_COLUMNS = (
 
 
 def deployments_with_delivery(
-    deployments: DataFrame, state: DataFrame, results: DataFrame, hot: HotKeys | None = None
+    deployments: DataFrame, sent: DataFrame, results: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Deployments with ``already_sent`` and their delivery result, to be carried
     into the label rows. Ledger and results meet by key first, so the
     deployments are shuffled once."""
-    sent = sent_keys(state).withColumn("_sent", F.lit(True))
-    outcome = sent.join(latest_results(results), list(KEY), "full")
+    marked = sent.withColumn("_sent", F.lit(True))
+    outcome = marked.join(latest_results(results), list(KEY), "full")
     return _join_deployments(deployments, outcome, "left", hot).select(
         *deployments.columns,
         F.coalesce("_sent", F.lit(False)).alias("already_sent"),

@@ -175,11 +175,13 @@ def label_preview(s: Sample) -> DataFrame:
 
 @query(
     """
-    select address, chain_id, min(verified_contract_id) as verified_contract_id
-    from label_rows group by address, chain_id"""
+    select * exclude (rn) from (
+      select *, row_number() over (partition by lower(address), chain_id
+                                   order by verified_contract_id) as rn from label_rows)
+    where rn = 1"""
 )
 def one_per_key(s: Sample) -> DataFrame:
-    return label_ops.one_per_key(s.labels).select("address", "chain_id", "verified_contract_id")
+    return label_ops.one_per_key(s.labels)
 
 
 # -- tags and validation --------------------------------------------------------
@@ -283,7 +285,7 @@ def address_pattern(s: Sample) -> DataFrame:
     from batched group by batch_id"""
 )
 def duplicate_addresses(s: Sample) -> DataFrame:
-    return quality.duplicate_addresses(s.ordered(s.labels).with_batch(BATCH_SIZE))
+    return quality.duplicate_addresses(s.batches(s.labels, "address"))
 
 
 # -- batches ------------------------------------------------------------------------
@@ -296,7 +298,7 @@ def duplicate_addresses(s: Sample) -> DataFrame:
     from batched group by batch_id"""
 )
 def batch_bounds(s: Sample) -> DataFrame:
-    return batching.batch_bounds(s.ordered(s.labels).with_batch(BATCH_SIZE))
+    return batching.batch_bounds(s.batches(s.labels))
 
 
 _RATE = "cast(n_successful as double) / n_rows * 100 as success_rate"
@@ -327,7 +329,7 @@ def batch_running_rate(s: Sample) -> DataFrame:
     from delivery group by batch_id"""
 )
 def batch_payload_sizes(s: Sample) -> DataFrame:
-    batches = s.ordered(s.engine.prepared(), "valid", "chain_ref", "tags").with_batch(BATCH_SIZE)
+    batches = s.batches(s.engine.prepared(), "address", "valid", "chain_ref", "tags")
     return batching.payload_sizes(batching.payloads(batches))
 
 
@@ -338,7 +340,7 @@ def batch_payload_sizes(s: Sample) -> DataFrame:
     from delivery where valid and not already_sent group by batch_id"""
 )
 def batch_payload_results(s: Sample) -> DataFrame:
-    return batching.payload_results(s.delivery_batches())
+    return batching.payload_results(s.delivery_batches("result_uid"))
 
 
 @query(
@@ -350,7 +352,7 @@ def batch_payload_results(s: Sample) -> DataFrame:
       having count(*) filter (where not delivered) < count(*) * 0.1::double)"""
 )
 def retry_candidates(s: Sample) -> DataFrame:
-    return batching.retry_rows(s.delivery_batches()).select(
+    return batching.retry_rows(s.delivery_batches("address", "chain_id")).select(
         "batch_id", "verified_contract_id", "address", "chain_id", "attempt"
     )
 
@@ -365,7 +367,7 @@ def retry_candidates(s: Sample) -> DataFrame:
 )
 def resume_offset(s: Sample) -> DataFrame:
     total = s.engine.join_match_counts().first()["full_join"]
-    batches = batching.batch_bounds(s.ordered(s.labels).with_batch(BATCH_SIZE))
+    batches = batching.batch_bounds(s.batches(s.labels))
     return batching.resume_points(batching.progress_rows(batches, BATCH_SIZE, total), total)
 
 
@@ -383,7 +385,7 @@ def resume_offset(s: Sample) -> DataFrame:
     group by run_id"""
 )
 def session_stats(s: Sample) -> DataFrame:
-    progress = s.delivery_batches().groupBy("batch_id").agg(
+    progress = s.delivery_batches("verified_at").groupBy("batch_id").agg(
         F.count_if("already_sent").alias("n_skipped"),
         F.count_if(~F.col("already_sent")).alias("n_processed"),
         F.min("verified_at").alias("started_at"),
@@ -405,7 +407,7 @@ def session_stats(s: Sample) -> DataFrame:
           from totals)"""
 )
 def run_estimate(s: Sample) -> DataFrame:
-    return s.engine.run_estimate(s.state, s.as_of, BATCH_SIZE, DELAY_SECONDS)
+    return s.engine.run_estimate(s.narrow_state, s.as_of, BATCH_SIZE, DELAY_SECONDS)
 
 
 # -- ledger -------------------------------------------------------------------------
@@ -430,7 +432,7 @@ def ledger_state(s: Sample) -> DataFrame:
     from ledger_state, report_time"""
 )
 def ledger_stats(s: Sample) -> DataFrame:
-    return ledger.ledger_stats(s.state, s.as_of)
+    return ledger.ledger_stats(s.narrow_state, s.as_of)
 
 
 @query(
@@ -454,12 +456,12 @@ _SENT = "select address, chain_id from ledger_state where status = 'success'"
 
 @query(f"select {LABEL_LIST} from label_rows where (lower(address), chain_id) not in ({_SENT})")
 def unsent_labels(s: Sample) -> DataFrame:
-    return s.engine.unsent_labels(s.state)
+    return s.engine.unsent_labels(s.sent)
 
 
 @query(f"select {LABEL_LIST} from label_rows where (lower(address), chain_id) in ({_SENT})")
 def already_sent_labels(s: Sample) -> DataFrame:
-    return s.engine.already_sent_labels(s.state)
+    return s.engine.already_sent_labels(s.sent)
 
 
 @query(
@@ -468,7 +470,7 @@ def already_sent_labels(s: Sample) -> DataFrame:
     from delivery where valid and not already_sent group by address, chain_id"""
 )
 def delivery_outbox(s: Sample) -> DataFrame:
-    prepared = s.engine.prepared(s.engine.unsent_labels(s.state))
+    prepared = s.engine.prepared(s.engine.unsent_labels(s.sent))
     return label_ops.one_per_key(prepared.filter("valid")).select(
         "address", "chain_id", "verified_contract_id"
     )

@@ -13,9 +13,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagwright.engine import LabelEngine
 from tagwright.operators import ledger
-from tagwright.operators.ordering import OrderedRows, order_rows
-from tagwright.operators.labels import LABEL_ORDER
-
+from tagwright.operators.ordering import order_rows
+from tagwright.session import write_shared
+
+# Columns of the source tables that the derived ones use, declared so that no
+# job has to look into the files for them.
+SOURCES = {
+    "part": "p_partkey long, p_name string, p_size int",
+    "orders": "o_orderkey long, o_custkey long",
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, event_type string",
+    "documents": "doc_id long, text string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
+TABLES = ("verified", "deployments", "compilations", "attempts", "results")
 VERIFIER = "registry"
 BATCH_SIZE = 5_000
 
@@ -28,7 +40,16 @@ class Sample:
         self.sf_dir = sf_dir
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def written(self) -> Sample:
+        """The same sample with its derived tables written out first, as they
+        would be delivered."""
+        stored = Sample(self.spark, self.sf_dir)
+        parts = self.spark.sparkContext.defaultParallelism
+        for name in TABLES:
+            setattr(stored, name, write_shared(getattr(self, name).repartition(parts)))
+        return stored
 
     # -- the three tables ---------------------------------------------------
 
@@ -111,6 +132,15 @@ class Sample:
     def state(self) -> DataFrame:
         return ledger.current_state(self.attempts)
 
+    @cached_property
+    def narrow_state(self) -> DataFrame:
+        """Latest status and time per key, all that statistics need."""
+        return ledger.current_state(self.attempts, details=("status", "attempted_at"))
+
+    @cached_property
+    def sent(self) -> DataFrame:
+        return ledger.sent_keys_of(self.attempts)
+
     @property
     def as_of(self):
         """The last attempt, as the moment reports are made."""
@@ -140,17 +170,16 @@ class Sample:
     @cached_property
     def delivery(self) -> DataFrame:
         """Labels with verdict, sent flag and delivery result."""
-        return self.engine.prepared(self.engine.labels_with_delivery(self.state, self.results))
+        return self.engine.prepared(self.engine.labels_with_delivery(self.sent, self.results))
 
-    def ordered(self, rows: DataFrame, *columns: str) -> OrderedRows:
-        """``columns`` of the rows (and their order) as a table in id order."""
-        order = [c for c in LABEL_ORDER if c in rows.columns]
-        kept = dict.fromkeys([*order, *columns])
-        return order_rows(rows.select(*kept), order)
+    def batches(self, rows: DataFrame, *columns: str) -> DataFrame:
+        """Ids and the named columns of the rows, with their batch. The id is
+        unique, so it orders the rows by itself."""
+        row_id = "verified_contract_id"
+        return order_rows(rows.select(row_id, *columns), [row_id]).with_batch(BATCH_SIZE)
 
     def delivery_batches(self, *columns: str) -> DataFrame:
-        needed = ("already_sent", "valid", "result_status", "result_uid", "verified_at")
-        return self.ordered(self.delivery, *needed, *columns).with_batch(BATCH_SIZE)
+        return self.batches(self.delivery, "already_sent", "valid", "result_status", *columns)
 
     # -- file sets ------------------------------------------------------------
 

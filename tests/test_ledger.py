@@ -95,26 +95,27 @@ def test_only_success_keeps_a_label_back(star, hot):
     sent = [r for r in rows if (r["address"].lower(), r["chain_id"]) == (A, 1)]
     left = [r for r in rows if r not in sent]
     assert len(sent) == 2 and left
-    assert in_order(as_dicts(engine.unsent_labels(state))) == in_order(left)
-    assert in_order(as_dicts(engine.already_sent_labels(state))) == in_order(sent)
+    done = ledger.sent_keys_of(attempts(star.spark, HISTORY))
+    assert as_dicts(done) == as_dicts(ledger.sent_keys(state)) == [{"address": A, "chain_id": 1}]
+    assert in_order(as_dicts(engine.unsent_labels(done))) == in_order(left)
+    assert in_order(as_dicts(engine.already_sent_labels(done))) == in_order(sent)
     stored = engine.labels()
-    assert in_order(as_dicts(ledger.unsent(stored, state))) == in_order(left)
-    assert in_order(as_dicts(ledger.already_sent(stored, state))) == in_order(sent)
+    assert in_order(as_dicts(ledger.unsent(stored, done))) == in_order(left)
+    assert in_order(as_dicts(ledger.already_sent(stored, done))) == in_order(sent)
 
 
 def test_malformed_ledger_addresses_match_nothing(star):
     engine = LabelEngine(star.tables(), "registry")
     odd = [("0xabc", 1, "success", None), ("abcd", 1, "success", None), ("0xzz", 1, "success", None)]
-    state = ledger.current_state(attempts(star.spark, odd))
-    assert engine.already_sent_labels(state).count() == 0
-    short = ledger.current_state(attempts(star.spark, [("0xabcd", 1, "success", None)]))
+    assert engine.already_sent_labels(ledger.sent_keys_of(attempts(star.spark, odd))).count() == 0
+    short = ledger.sent_keys_of(attempts(star.spark, [("0xabcd", 1, "success", None)]))
     assert engine.already_sent_labels(short).count() == 1
 
 
 def test_delivery_joins_ledger_and_results(star):
     spark = star.spark
     engine = LabelEngine(star.tables(), "registry")
-    state = ledger.current_state(attempts(spark, HISTORY))
+    sent = ledger.sent_keys_of(attempts(spark, HISTORY))
     results = spark.createDataFrame(
         [
             (B.upper(), 10, "failed", None, None, "late", NOON, 2),
@@ -126,7 +127,7 @@ def test_delivery_joins_ledger_and_results(star):
     ).withColumn("address", F.regexp_replace("address", "^0X", "0x"))
     rows = {
         r["verified_contract_id"]: r
-        for r in as_dicts(engine.labels_with_delivery(state, results))
+        for r in as_dicts(engine.labels_with_delivery(sent, results))
     }
     assert len(rows) == engine.labels().count()
     assert rows["v03"]["result_status"] == "success" and rows["v03"]["result_uid"] == "u"
