@@ -49,6 +49,16 @@ def percentage(part: Column, whole: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole and fractional seconds as double, whatever the session time zone."""
+    span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    units = {"DAY": 86400.0, "HOUR": 3600.0, "MINUTE": 60.0, "SECOND": 1.0}
+    return sum(
+        (F.extract(F.lit(unit), span).cast("double") * F.lit(size) for unit, size in units.items()),
+        F.lit(0.0),
+    )
+
+
 def one_line(text: Column) -> Column:
     """Error text for a line-based log: no NULL, no newline."""
     return F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagwright.functions.columns import percentage
+from tagwright.functions.columns import percentage, seconds_between
 from tagwright.operators.ordering import with_running_totals
 
 # A batch below this success share warns; a batch with a smaller
@@ -138,13 +138,11 @@ def resume_points(progress: DataFrame, total_rows: int) -> DataFrame:
 def session_stats(progress: DataFrame) -> DataFrame:
     """Per run: rows skipped and processed, skip rate, and hours from the first
     start to the last finish."""
-    seconds = F.unix_timestamp(F.max("finished_at").cast("timestamp")) - F.unix_timestamp(
-        F.min("started_at").cast("timestamp")
-    )
+    seconds = seconds_between(F.min("started_at"), F.max("finished_at"))
     summed = progress.groupBy("run_id").agg(
         F.sum("n_skipped").alias("total_skipped"),
         F.sum("n_processed").alias("total_processed"),
-        (seconds.cast("double") / F.lit(3600.0)).alias("session_hours"),
+        (seconds / F.lit(3600.0)).alias("session_hours"),
     )
     handled = F.col("total_skipped") + F.col("total_processed")
     return summed.withColumn("skip_rate", percentage(F.col("total_skipped"), handled))

@@ -21,6 +21,22 @@ RECOMMENDED = {
 }
 
 
+# Shuffle data one task should get on a cluster.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def cluster_settings(shuffled_bytes: int) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffled_bytes``: enough initial
+    partitions that none has to spill, merged by AQE where they turn out small."""
+    partitions = min(max(200, -(-shuffled_bytes // TASK_BYTES)), 200_000)
+    return {
+        **RECOMMENDED,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+    }
+
+
 def local_session(cpus: int | str = 8, **settings: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -42,14 +58,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local-mode session without the setting gets a folder of its own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="tagwright-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tagwright-"))
+    return context.getCheckpointDir()
 
 
 def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -49,6 +49,8 @@ class DeliveryRun:
     Each micro-batch is labelled once and stored with its verdicts; the outbox,
     the attempts and the failure log are read off that stored partition. A run
     started again on the same store repeats the batch in flight and nothing else.
+    All waiting files make one batch unless ``files_per_batch`` cuts them up: every
+    batch scans the two dimensions, so large batches are the cheap ones.
     """
 
     spark: SparkSession
@@ -59,7 +61,7 @@ class DeliveryRun:
     store: DeliveryStore
     verifier: str
     run_id: int
-    files_per_batch: int = 1_000
+    files_per_batch: int | None = None
     extra_check: Callable[[DataFrame], Column] | None = None
     clock: Callable[[], datetime] = utc_now
 
@@ -77,14 +79,14 @@ class DeliveryRun:
 
     def process_new_files(self) -> None:
         """Label every file not seen before, then stop."""
-        stream = (
-            self.spark.readStream.schema(self.verified_schema)
-            .option("maxFilesPerTrigger", self.files_per_batch)
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(self.verified_path)
+        reader = self.spark.readStream.schema(self.verified_schema).option(
+            "pathGlobFilter", "*.parquet"
         )
+        if self.files_per_batch is not None:
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
         query = (
-            stream.writeStream.trigger(availableNow=True)
+            reader.parquet(self.verified_path)
+            .writeStream.trigger(availableNow=True)
             .option("checkpointLocation", self.store.path("checkpoint"))
             .foreachBatch(lambda rows, batch_id: self.deliver(rows, batch_id))
             .start()
@@ -112,7 +114,7 @@ class DeliveryRun:
         """Keys this batch must not send: delivered before, or handed to the
         outbox by an earlier batch of this run. Its own rows from an interrupted
         try do not count."""
-        state = self.store.state()
+        state = self.store.state(details=("status", "run_id", "batch_id"))
         earlier = (
             (F.col("status") == ledger.PENDING)
             & (F.col("run_id") == self.run_id)
@@ -157,7 +159,7 @@ class DeliveryRun:
             batch_id=batch_id,
             batch_num=batch_id + 1,
             batch_size=self.files_per_batch,
-            offset=(batch_id + 1) * self.files_per_batch,
+            offset=None if self.files_per_batch is None else (batch_id + 1) * self.files_per_batch,
             started_at=started,
             finished_at=self.clock(),
             **counts.get,

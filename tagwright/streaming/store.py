@@ -6,6 +6,8 @@ done again after a failure leaves the same rows once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tagwright.operators.ledger import current_state
@@ -81,9 +83,10 @@ class DeliveryStore:
         versions = self.read("ledger_versions", VERSION_SCHEMA)
         return versions.orderBy(F.desc("version")).first()
 
-    def state(self) -> DataFrame:
+    def state(self, details: Sequence[str] | None = None) -> DataFrame:
         """Latest attempt per key: the compacted state plus the attempts of the
-        runs that came after it (other runs are pruned by their folder)."""
+        runs that came after it (other runs are pruned by their folder). Only
+        the ``details`` named are read; all of them otherwise."""
         attempts = self.attempts()
         last = self._latest_version()
         if last is not None:
@@ -92,7 +95,7 @@ class DeliveryStore:
             )
             newer = attempts.filter(F.col("run_id") > last["folded_run"])
             attempts = folded.select(*ATTEMPT_COLUMNS).unionByName(newer)
-        return current_state(attempts, ATTEMPT_ORDER)
+        return current_state(attempts, ATTEMPT_ORDER, details)
 
     def compact(self, through_run: int) -> int:
         """Fold all attempts up to a finished run into a new version folder. The

@@ -39,9 +39,8 @@ class Job:
             store=self.store,
             verifier="registry",
             run_id=run_id,
-            files_per_batch=1,
             clock=lambda: NOW,
-            **options,
+            **{"files_per_batch": 1, **options},
         )
 
     def outbox(self) -> list[dict]:
@@ -163,6 +162,15 @@ def test_backlog_takes_rows_whose_dimension_came_late(star, tmp_path):
     assert len([r for r in late.outbox() if r["run_id"] == 2]) == 1
 
 
+def test_waiting_files_make_one_batch_by_default(star, tmp_path):
+    job = Job(star, tmp_path)
+    job.add(VERIFIED[:7])
+    job.add(VERIFIED[7:])
+    job.run(1, files_per_batch=None).process_new_files()
+    assert {r["batch_id"] for r in job.outbox()} == {0}
+    assert len(job.outbox()) == 3
+
+
 def test_results_for_unknown_labels_are_ignored(job):
     job.run(1).process_new_files()
     job.report(1, 0, [("0x" + "77" * 20, 1, "success", None)])
