@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagwright.functions.columns import prefixed_hex
 from tagwright.functions.tags import raw_tag_struct
-from tagwright.operators.ordering import order_rows
+from tagwright.operators.ordering import MAX_TOP_K, order_rows
 from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
 
 ZERO_ADDRESS = bytes(20)
@@ -16,9 +16,6 @@ ZERO_ADDRESS = bytes(20)
 # Join keys of the fact table, watched for hot values.
 FACT_KEYS = ("deployment_id", "compilation_id")
 
-# Rows a top-k page may keep in memory per task; a deeper page is read by position.
-MAX_TOP_K = 100_000
-
 LABEL_COLUMNS = (
     "verified_contract_id",
     "source_code_verified",

@@ -68,11 +68,16 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new folder name below the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tagwright/{uuid.uuid4().hex}"
+
+
 def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return the stored
     table: cuts lineage, survives lost executors, keeps column pruning."""
     spark = df.sparkSession
-    path = path or f"{shared_dir(spark).rstrip('/')}/tagwright/{uuid.uuid4().hex}"
+    path = path or shared_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -153,14 +153,21 @@ def with_completeness(expected: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def file_summary(listing: DataFrame) -> DataFrame:
+def file_summary(listing: DataFrame, tables: Sequence[str] = ()) -> DataFrame:
     """Files and megabytes per table, and in total (``table_name`` is 'total').
-    The total rounds the sum of bytes, not the rounded parts."""
+    The total rounds the sum of bytes, not the rounded parts. ``tables`` names
+    those to list even when they have no file."""
+    sizes = listing.select("table_name", "length")
+    if tables:
+        empty = [(t, None) for t in tables]
+        sizes = sizes.unionByName(
+            listing.sparkSession.createDataFrame(empty, "table_name string, length long")
+        )
     return (
-        listing.rollup("table_name")
+        sizes.rollup("table_name")
         .agg(
             F.grouping("table_name").alias("_total"),
-            F.count(F.lit(1)).alias("file_count"),
+            F.count("length").alias("file_count"),
             F.coalesce(F.sum("length"), F.lit(0)).alias("_bytes"),
         )
         .select(

@@ -144,6 +144,15 @@ def test_summary_rounds_the_total_of_bytes(spark, folder):
     assert got["verified_contracts"] == (2, 0.0)
 
 
+def test_summary_can_list_tables_without_files(spark, folder):
+    listing = files.file_listing(spark, folder).filter("table_name = 'sources'")
+    got = {
+        r["table_name"]: (r["file_count"], r["size_mb"])
+        for r in as_dicts(files.file_summary(listing, ["sources", "compiled_contracts"]))
+    }
+    assert got == {"sources": (1, 0.0), "compiled_contracts": (0, 0.0), "total": (1, 0.0)}
+
+
 def test_rounding_is_half_to_even(spark):
     sizes = [int(0.25 * 1048576), int(0.75 * 1048576)]
     df = spark.createDataFrame([(s,) for s in sizes], "size long")

@@ -6,7 +6,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
-from tagwright.operators import spread
+from tagwright.operators import ordering, spread
 from tagwright.operators.ordering import order_rows, with_running_totals
 from tagwright.operators.spread import find_hot_keys, spread_join
 from tests.star import as_dicts, in_order
@@ -119,6 +119,24 @@ def test_no_rows(spark):
     assert ordered.with_batch(5).collect() == []
 
 
+@pytest.mark.parametrize(("files", "top_k"), [(50, 100_000), (0, 100_000), (50, 0), (0, 0)])
+def test_every_way_to_read_a_page(spark, many_partitions, monkeypatch, files, top_k):
+    monkeypatch.setattr(ordering, "MAX_FILES", files)
+    monkeypatch.setattr(ordering, "MAX_TOP_K", top_k)
+    ordered = order_rows(spark.range(0, 1000), ["id"])
+    assert len(ordered.parts) > 2
+    for limit, offset in [(1, 0), (600, 200), (1000, 0), (7, 993), (50, 990)]:
+        got = [r["id"] for r in ordered.page(limit, offset).collect()]
+        assert got == list(range(offset, min(offset + limit, 1000)))
+
+
+def test_a_page_opens_only_its_files(spark, many_partitions):
+    ordered = order_rows(spark.range(0, 1000), ["id"])
+    part, first, n = ordered.parts[1]
+    files = ordered.page(n, first).inputFiles()
+    assert len(files) == 1 and f"part-{part:05d}-" in files[0]
+
+
 @pytest.mark.parametrize("group_size", [1, 3, 1000])
 def test_running_totals_across_groups(spark, group_size):
     values = [(i, (i * 37) % 11, 1) for i in range(50)]
