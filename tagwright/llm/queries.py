@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagwright.llm import chat, mixing
+from tagwright.llm import chat, jaccard, mixing, substrings
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -57,18 +57,75 @@ from turns group by conv_id
 """
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+grams as (
+  select distinct doc_id, array_to_string(w[s:s+2], ' ') as gram
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w) + 1, 2)))) as s from words)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as shared
+  from grams a join grams b on a.gram = b.gram and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+  where 100 * shared >= 90 * (a.n + b.n - shared)),
+ways as (select x, y from links union all select y, x from links),
+reach as (
+  select doc_id as x, doc_id as y from documents
+  union select reach.x, ways.y from reach join ways on reach.y = ways.x)
+select words.doc_id, coalesce(n, 0)::bigint as n_shingles, min(y) as component_id
+from words join reach on x = words.doc_id left join sizes using (doc_id)
+group by words.doc_id, n
+"""
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+spots as (
+  select doc_id, s, md5(array_to_string(w[s:s+12], ' ')) as key
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as s from words where len(w) >= 13)),
+firsts as (select key, min(doc_id) as least from spots group by key),
+hits as (select doc_id, s from spots join firsts using (key) where least < doc_id),
+gone as (select distinct doc_id, s + i as place from hits, range(13) t(i)),
+each as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from words),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by place) as k
+  from each anti join gone using (doc_id, place) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(k, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
+    "op7_ngram_jaccard": OP7_SQL,
     "op8_source_mixing": mixing.ORACLE,
+    "op9_substring_dedup": OP9_SQL,
 }
