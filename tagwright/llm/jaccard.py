@@ -6,9 +6,10 @@ Two sets whose Jaccard similarity reaches the threshold share a gram among the
 first ``n - ceil(t n) + 1`` of each (prefix filter).
 
 1. Equal sets are one class, held by its smallest id.
-2. Classes that share a prefix gram and have fitting sizes are joined to the
-   first of their run, never pair by pair; the connected groups of these edges
-   hold every possible link.
+2. Classes that share a prefix gram and have fitting sizes form a run. In short
+   runs a parity sketch, a lower bound of the grams that two sets do not share,
+   rules out what merely has a passage in common; long runs are tied to their
+   first set, never pair by pair. The connected groups hold every possible link.
 3. The sets of a group are split into blocks of bounded size. In each block a
    prefix tree stores the sets in global order; a set walks the tree once,
    sharing the overlap counted along common paths, and leaves a subtree when
@@ -46,6 +47,9 @@ from tagwright.session import write_shared
 COUNT_BUCKETS = 1 << 16
 # Sets and grams that one part of a block holds.
 PART_SETS = 128
+# Sets of a run that are compared by sketches; a longer run is tied to its first
+# set, and the blocks compare it.
+RUN_SETS = 128
 PART_GRAMS = 1 << 18
 
 _NULL_ID = -(1 << 63)
@@ -116,7 +120,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def describe(k: int, percent: int, rarity):
-    """(id, n, sig1, sig2, prefix) of each text."""
+    """(id, n, sig1, sig2, prefix, sketch) of each text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, "text"):
@@ -126,8 +130,15 @@ def describe(k: int, percent: int, rarity):
             sig2 = np.array([mix(s ^ np.uint64(0xA0761D6478BD642F)).sum() for s in sets], dtype=np.uint64)
             prefixes = [s[: p if len(s) else 0] for s, p in zip(sets, prefix_length(n, percent))]
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("id"), pa.array(n), pa.array(sig1.view(np.int64)), pa.array(sig2.view(np.int64)), _lists(prefixes)],
-                ["id", "n", "sig1", "sig2", "prefix"],
+                [
+                    chunk.column("id"),
+                    pa.array(n),
+                    pa.array(sig1.view(np.int64)),
+                    pa.array(sig2.view(np.int64)),
+                    _lists(prefixes),
+                    pa.array([sketch_of(s) for s in sets], pa.binary()),
+                ],
+                ["id", "n", "sig1", "sig2", "prefix", "sketch"],
             )
 
     return run
@@ -147,9 +158,9 @@ def _runs(gram: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) ->
 
 
 def send_prefixes(percent: int):
-    """Rows (gram, low, high, id, other): a run of fitting sizes in the chunk
-    (``other`` null, under its first id), or an edge id - other found inside one
-    (gram free)."""
+    """Rows (gram, low, high, ids, other): a run of fitting sizes in the chunk,
+    with its ids, or only the first if they are more than ``RUN_SETS``; then also
+    edges ids[0] - other that tie the run together (gram free)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,50 +175,129 @@ def send_prefixes(percent: int):
                 continue
             starts = _runs(gram, n, n, percent)
             sizes = np.diff(np.append(starts, len(gram)))
+            large = sizes > RUN_SETS
+            keep = np.repeat(~large, sizes)
+            keep[starts] = True
             hub = np.repeat(ids[starts], sizes)
-            inner = np.unique(np.stack([ids, hub])[:, ids != hub], axis=1)
-            none = pa.nulls(len(starts), pa.int64())
+            inner = np.unique(np.stack([ids, hub])[:, ~keep & (ids != hub)], axis=1)
+            held = np.append(np.where(large, 1, sizes), np.ones(inner.shape[1], np.int64))
+            listed = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(held)).astype(np.int32)), pa.array(np.append(ids[keep], inner[0]))
+            )
+            none = np.zeros(inner.shape[1], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(gram[starts]), pa.array(mix(inner[0].astype(np.uint64)).view(np.int64))]),
-                    pa.array(np.append(n[starts], np.zeros(inner.shape[1], np.int64))),
-                    pa.array(np.append(n[starts + sizes - 1], np.zeros(inner.shape[1], np.int64))),
-                    pa.array(np.append(ids[starts], inner[0])),
-                    pa.concat_arrays([none, pa.array(inner[1])]),
+                    pa.array(np.append(gram[starts], mix(inner[0].astype(np.uint64)).view(np.int64))),
+                    pa.array(np.append(n[starts], none)),
+                    pa.array(np.append(n[starts + sizes - 1], none)),
+                    listed,
+                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), pa.array(inner[1])]),
+                    pa.array(np.append(large, none.astype(bool))),
                 ],
-                ["gram", "low", "high", "id", "other"],
+                ["gram", "low", "high", "ids", "other", "large"],
             )
 
     return run
 
 
 def join_runs(percent: int):
-    """Edges (a, b) from rows in order of (gram, low); one open run is kept."""
+    """Rows (ids) from rows in order of (gram, low): the ids of a run of several
+    sets, if they are at most ``RUN_SETS``; otherwise pairs of ids that tie the
+    run to its first set, ``tied``. One open run is kept, with as many ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        gram, most, held, large, hub = None, 0, [], False, None
         for batch in batches:
-            edge = np.asarray(batch.column("other").is_valid())
-            other = np.asarray(batch.column("other").fill_null(0))
-            gram, low, high, ids = (np.asarray(batch.column(c)) for c in ("gram", "low", "high", "id"))
-            a, b = [ids[edge]], [other[edge]]
-            gram, low, high, ids = (c[~edge] for c in (gram, low, high, ids))
-            if held is not None:
-                gram, low, high, ids = (np.append(h, c) for h, c in zip(held, (gram, low, high, ids)))
-            if len(gram):
-                starts = _runs(gram, low, high, percent)
-                hub = np.repeat(ids[starts], np.diff(np.append(starts, len(gram))))
-                differ = ids != hub
-                a.append(ids[differ])
-                b.append(hub[differ])
-                last = starts[-1]
-                held = (gram[last:last + 1], low[last:last + 1], high[last:].max(keepdims=True), ids[last:last + 1])
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            out: set[tuple[tuple[int, ...], bool]] = set()
+
+            def close() -> None:
+                if not large and len(held) > 1:
+                    out.add((tuple(held), False))
+
+            rows = zip(*(batch.column(c).to_pylist() for c in ("gram", "low", "high", "ids", "other", "large")))
+            for g, low, high, ids, other, many in rows:
+                if other is not None:
+                    out.add(((ids[0], other), True))
+                    continue
+                if g != gram or low * percent > 100 * most:
+                    close()
+                    gram, most, held, large, hub = g, 0, [], False, ids[0]
+                most = max(most, high)
+                if large or many or len(held) + len(ids) > RUN_SETS:
+                    out.update(((i, hub), True) for i in [*held, *ids] if i != hub)
+                    held, large = [], True
+                else:
+                    held = sorted({*held, *ids})
+            yield _found(out)
+        out = set()
+        if not large and len(held) > 1:
+            out.add((tuple(held), False))
+        yield _found(out)
 
     return run
 
 
+def _found(out: set[tuple[tuple[int, ...], bool]]) -> pa.RecordBatch:
+    rows = sorted(out)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([list(ids) for ids, _ in rows], pa.list_(pa.int64())), pa.array([tied for _, tied in rows], pa.bool_())],
+        ["ids", "tied"],
+    )
+
+
+def sketch_of(grams: np.ndarray) -> bytes:
+    """For each of 2^k slots, at least as many as grams, whether an odd number of
+    grams falls in it. Two sketches differ in at most as many slots as grams
+    stand in one set only; folding halves onto each other keeps that true."""
+    slots = max(64, 1 << int(len(grams) - 1).bit_length())
+    odd = np.bincount((mix(grams ^ np.uint64(0x8EBC6AF09C88C6E3)) % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def near_pairs(percent: int):
+    """Edges (a, b) that connect the sets of each run whose sketches do not rule
+    the threshold out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges: list[tuple[int, int]] = []
+            for sets in batch.column("sets").to_pylist():
+                edges += _near(sets, percent)
+            pairs = sorted(set(edges))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"]
+            )
+
+    return run
+
+
+def _near(sets: list[dict], percent: int) -> list[tuple[int, int]]:
+    sets = sorted(sets, key=lambda s: (s["n"], s["id"]))
+    n = np.array([s["n"] for s in sets])
+    label, edges = np.arange(len(sets)), []
+    sketches = [np.frombuffer(s["sketch"], dtype=np.uint64) for s in sets]
+    for i, own in enumerate(sketches):
+        reach = np.flatnonzero((n * percent <= 100 * n[i]) & (np.arange(len(sets)) > i) & (label != label[i]))
+        if not len(reach):
+            continue
+        others = np.stack([_fold(sketches[j], len(own)) for j in reach])
+        differ = np.bitwise_count(others ^ own).sum(axis=1)
+        total = n[reach] + n[i]
+        allowed = total - 2 * -(-percent * total // (100 + percent))
+        for j in reach[differ <= allowed]:
+            if label[j] != label[i]:
+                edges.append((sets[j]["id"], sets[i]["id"]))
+                label[label == label[j]] = label[i]
+    return edges
+
+
+def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    while len(sketch) > size:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
 class PrefixTree:
     """Sets in global order, paths without a branch in one node.
 
@@ -333,22 +423,30 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), "text")
     rarity = spark.sparkContext.broadcast(rarity_of(texts, k))
     described = write_shared(
-        texts.mapInArrow(describe(k, percent, rarity), "id long, n long, sig1 long, sig2 long, prefix array<long>")
+        texts.mapInArrow(describe(k, percent, rarity), "id long, n long, sig1 long, sig2 long, prefix array<long>, sketch binary")
     )
     same = ["n", "sig1", "sig2"]
     classes = write_shared(
-        described.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.min_by("prefix", "id").alias("prefix"))
+        described.filter("n > 0")
+        .groupBy(*same)
+        .agg(F.min("id").alias("rep"), F.min_by(F.struct("prefix", "sketch"), "id").alias("kept"))
+        .select(*same, "rep", "kept.*")
     )
     sent = classes.select(F.col("rep").alias("id"), "n", "prefix").mapInArrow(
-        send_prefixes(percent), "gram long, low long, high long, id long, other long"
+        send_prefixes(percent), "gram long, low long, high long, ids array<long>, other long, large boolean"
     )
-    edges = sent.repartition("gram").sortWithinPartitions("gram", "low").mapInArrow(join_runs(percent), "a long, b long")
-    groups = components(edges)
+    runs = sent.repartition("gram").sortWithinPartitions("gram", "low").mapInArrow(join_runs(percent), "ids array<long>, tied boolean")
+    runs = write_shared(runs.distinct())
+    tied = runs.filter("tied").select(F.get("ids", F.lit(0)).alias("a"), F.get("ids", F.lit(1)).alias("b"))
+    seats = runs.filter("not tied").select("ids", F.explode("ids").alias("rep"))
+    sketches = seats.join(classes.select("rep", "n", "sketch"), "rep").groupBy("ids")
+    sketches = sketches.agg(F.collect_list(F.struct(F.col("rep").alias("id"), "n", "sketch")).alias("sets"))
+    groups = components(tied.union(sketches.select("sets").mapInArrow(near_pairs(percent), "a long, b long")))
 
     sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n"))
     members = write_shared(groups.join(sizes, "node").select(F.col("node").alias("id"), F.col("label").alias("grp"), "n"))
     sets = write_shared(
-        texts.join(members.select("id"), "id", "left_semi").mapInArrow(whole_sets(k, rarity), "id long, grams array<long>").distinct()
+        texts.join(members.select("id"), "id", "left_semi").mapInArrow(whole_sets(k, rarity), "id long, grams array<long>")
     )
     parts = members.groupBy("grp").agg(F.count("id").alias("sets"), F.sum("n").alias("grams"))
     parts = parts.select("grp", _parts("sets", "grams").alias("parts"))
