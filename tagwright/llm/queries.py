@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagwright.llm import chat, jaccard, mixing, substrings
+from tagwright.llm import chat, jaccard, mixing, pages, substrings, templates
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -57,6 +57,11 @@ from turns group by conv_id
 """
 
 
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_ids", "cover")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -97,6 +102,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pages.extract_pages(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 OP9_SQL = """
 with words as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
@@ -118,9 +128,11 @@ from words left join kept using (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op5_template_decontamination": op5_template_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
