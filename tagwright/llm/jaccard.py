@@ -44,12 +44,16 @@ from tagwright.session import write_shared
 
 # Buckets of the corpus counts behind the global order: a fixed size. Any order
 # gives the same result; this one only keeps common grams out of the prefixes.
-COUNT_BUCKETS = 1 << 16
+COUNT_BUCKETS = 1 << 20
+_SLICE = 4096
+# Bits that keep back texts which are in no group, before an exact join: a fixed
+# size; a fuller table lets more rows through to that join.
+MEMBER_BITS = 1 << 24
 # Sets and grams that one part of a block holds.
 PART_SETS = 128
 # Sets of a run that are compared by sketches; a longer run is tied to its first
 # set, and the blocks compare it.
-RUN_SETS = 128
+RUN_SETS = 2048
 PART_GRAMS = 1 << 18
 
 _NULL_ID = -(1 << 63)
@@ -84,20 +88,42 @@ def count_grams(k: int, buckets: int):
         for chunk in chunks(batches, "text"):
             gram, _ = grams_of(words_of(chunk.column("text")), k)
             counts += np.bincount((gram >> np.uint64(6)).astype(np.int64) % buckets, minlength=buckets)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], ["bucket", "n"])
+        slices = counts.reshape(-1, _SLICE)
+        used = np.flatnonzero(slices.any(axis=1))
+        yield _slices(used.astype(np.int32), slices[used])
 
     return run
 
 
+def _slices(numbers: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    offsets = np.arange(len(numbers) + 1, dtype=np.int32) * _SLICE
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts.ravel()))
+    return pa.RecordBatch.from_arrays([pa.array(numbers), lists], ["slice", "counts"])
+
+
+def add_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of counts by slice, from rows in order of slice."""
+    number, total = None, None
+    for batch in batches:
+        for own, counts in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+            if own != number:
+                if number is not None:
+                    yield _slices(np.array([number], np.int32), total[None])
+                number, total = own, np.zeros(_SLICE, dtype=np.int64)
+            total += np.asarray(counts.values)
+    if number is not None:
+        yield _slices(np.array([number], np.int32), total[None])
+
+
 def rarity_of(docs: DataFrame, k: int, buckets: int = COUNT_BUCKETS) -> np.ndarray:
     """Per bucket the logarithm of how many grams of the corpus fall in it. The
     driver gets one number per bucket."""
-    counted = docs.select("text").mapInArrow(count_grams(k, buckets), "bucket int, n long")
-    table = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    rarity = np.zeros(buckets, dtype=np.uint8)
-    rarity[np.asarray(table["bucket"])] = np.minimum(np.log2(np.asarray(table["n"])) + 1, 63)
-    return rarity
+    counted = docs.select("text").mapInArrow(count_grams(k, buckets), "slice int, counts array<long>")
+    table = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(add_slices, counted.schema).toArrow()
+    counts = np.ones(buckets, dtype=np.int64)
+    for number, own in zip(table["slice"].to_pylist(), table["counts"]):
+        counts[number * _SLICE : (number + 1) * _SLICE] = np.asarray(own.values)
+    return np.minimum(np.log2(np.maximum(counts, 1)) + 1, 63).astype(np.uint8)
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -400,12 +426,30 @@ def link_blocks(percent: int):
     return run
 
 
-def whole_sets(k: int, rarity):
+def member_bits(ids: DataFrame) -> bytes:
+    """A bit for each id in a table of ``MEMBER_BITS``; the driver gets the table."""
+    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS)).alias("slot"))
+    bit = F.expr("shiftleft(1L, cast(slot % 64 as int))")
+    words = slots.groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(MEMBER_BITS // 64, dtype=np.int64)
+    table[np.asarray(words["word"])] = np.asarray(words["bits"])
+    return table.tobytes()
+
+
+def whole_sets(texts: DataFrame, seats: DataFrame, k: int, rarity) -> DataFrame:
+    """``seats`` (id, ...) with the sets (``grams``) of their texts."""
+    bits = texts.sparkSession.sparkContext.broadcast(member_bits(seats))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([chunk.column("id"), _lists(sets_of(chunk, k, rarity.value))], ["id", "grams"])
+        table = np.frombuffer(bits.value, dtype=np.uint64)
+        for batch in batches:
+            slot = np.asarray(batch.column("slot"))
+            member = (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            for chunk in chunks([batch.filter(pa.array(member.astype(bool)))], "text"):
+                yield pa.RecordBatch.from_arrays([chunk.column("id"), _lists(sets_of(chunk, k, rarity.value))], ["id", "grams"])
 
-    return run
+    slotted = texts.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS)))
+    return seats.join(slotted.mapInArrow(run, "id long, grams array<long>"), "id")
 
 
 def _parts(sets: str, grams: str):
@@ -426,28 +470,21 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         texts.mapInArrow(describe(k, percent, rarity), "id long, n long, sig1 long, sig2 long, prefix array<long>, sketch binary")
     )
     same = ["n", "sig1", "sig2"]
-    classes = write_shared(
-        described.filter("n > 0")
-        .groupBy(*same)
-        .agg(F.min("id").alias("rep"), F.min_by(F.struct("prefix", "sketch"), "id").alias("kept"))
-        .select(*same, "rep", "kept.*")
-    )
-    sent = classes.select(F.col("rep").alias("id"), "n", "prefix").mapInArrow(
+    classes = write_shared(described.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep")))
+    firsts = described.join(classes.withColumnRenamed("rep", "id"), [*same, "id"], "left_semi")
+    sent = firsts.select("id", "n", "prefix").mapInArrow(
         send_prefixes(percent), "gram long, low long, high long, ids array<long>, other long, large boolean"
     )
     runs = sent.repartition("gram").sortWithinPartitions("gram", "low").mapInArrow(join_runs(percent), "ids array<long>, tied boolean")
     runs = write_shared(runs.distinct())
     tied = runs.filter("tied").select(F.get("ids", F.lit(0)).alias("a"), F.get("ids", F.lit(1)).alias("b"))
-    seats = runs.filter("not tied").select("ids", F.explode("ids").alias("rep"))
-    sketches = seats.join(classes.select("rep", "n", "sketch"), "rep").groupBy("ids")
-    sketches = sketches.agg(F.collect_list(F.struct(F.col("rep").alias("id"), "n", "sketch")).alias("sets"))
+    seats = runs.filter("not tied").select("ids", F.explode("ids").alias("id"))
+    sketches = seats.join(firsts.select("id", "n", "sketch"), "id").groupBy("ids")
+    sketches = sketches.agg(F.collect_list(F.struct("id", "n", "sketch")).alias("sets"))
     groups = components(tied.union(sketches.select("sets").mapInArrow(near_pairs(percent), "a long, b long")))
 
     sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n"))
     members = write_shared(groups.join(sizes, "node").select(F.col("node").alias("id"), F.col("label").alias("grp"), "n"))
-    sets = write_shared(
-        texts.join(members.select("id"), "id", "left_semi").mapInArrow(whole_sets(k, rarity), "id long, grams array<long>")
-    )
     parts = members.groupBy("grp").agg(F.count("id").alias("sets"), F.sum("n").alias("grams"))
     parts = parts.select("grp", _parts("sets", "grams").alias("parts"))
     placed = members.join(parts, "grp")
@@ -455,8 +492,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     blocks = placed.select(
         "id", "grp", F.explode(F.coalesce(everywhere, F.array(_part_of("parts")))).alias("block"), F.col("id").alias("label")
     )
-    links = blocks.join(sets, "id").groupBy("grp", "block").applyInArrow(link_blocks(percent), "a long, b long")
-    links = write_shared(links)
+    seated = whole_sets(texts, write_shared(blocks), k, rarity)
+    links = write_shared(seated.groupBy("grp", "block").applyInArrow(link_blocks(percent), "a long, b long"))
     connected = components(links)
 
     # What blocks of split groups left apart meets across parts.
@@ -481,8 +518,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         .join(pools.withColumnRenamed("own", "_own").withColumnRenamed("grp", "_grp"), (F.col("grp") == F.col("_grp")) & F.col("own").eqNullSafe(F.col("_own")))
         .select("id", "grp", "label", F.struct("own", _part_of("parts").alias("part")).alias("spot"))
     )
-    rest = seated.join(meets, ["grp", "spot"]).select("id", "grp", "block", "label").join(sets, "id")
-    more = rest.groupBy("grp", "block").applyInArrow(link_blocks(percent), "a long, b long")
+    rest = write_shared(seated.join(meets, ["grp", "spot"]).select("id", "grp", "block", "label"))
+    more = whole_sets(texts, rest, k, rarity).groupBy("grp", "block").applyInArrow(link_blocks(percent), "a long, b long")
     connected = components(links.union(more))
 
     labels = classes.select(*same, "rep").join(connected.withColumnRenamed("node", "rep"), "rep", "left")
