@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tagwright.llm.counts import bucket_counts
 from tagwright.llm.graph import components
 from tagwright.llm.words import Words, chunks, mix, windows, words_of
 from tagwright.session import write_shared
@@ -45,7 +46,6 @@ from tagwright.session import write_shared
 # Buckets of the corpus counts behind the global order: a fixed size. Any order
 # gives the same result; this one only keeps common grams out of the prefixes.
 COUNT_BUCKETS = 1 << 20
-_SLICE = 4096
 # Bits that keep back texts which are in no group, before an exact join: a fixed
 # size; a fuller table lets more rows through to that join.
 MEMBER_BITS = 1 << 24
@@ -82,47 +82,9 @@ def ordered(gram: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     return (rarity[bucket].astype(np.uint64) << np.uint64(58)) | (gram >> np.uint64(6))
 
 
-def count_grams(k: int, buckets: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(buckets, dtype=np.int64)
-        for chunk in chunks(batches, "text"):
-            gram, _ = grams_of(words_of(chunk.column("text")), k)
-            counts += np.bincount((gram >> np.uint64(6)).astype(np.int64) % buckets, minlength=buckets)
-        slices = counts.reshape(-1, _SLICE)
-        used = np.flatnonzero(slices.any(axis=1))
-        yield _slices(used.astype(np.int32), slices[used])
-
-    return run
-
-
-def _slices(numbers: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    offsets = np.arange(len(numbers) + 1, dtype=np.int32) * _SLICE
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts.ravel()))
-    return pa.RecordBatch.from_arrays([pa.array(numbers), lists], ["slice", "counts"])
-
-
-def add_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of counts by slice, from rows in order of slice."""
-    number, total = None, None
-    for batch in batches:
-        for own, counts in zip(batch.column("slice").to_pylist(), batch.column("counts")):
-            if own != number:
-                if number is not None:
-                    yield _slices(np.array([number], np.int32), total[None])
-                number, total = own, np.zeros(_SLICE, dtype=np.int64)
-            total += np.asarray(counts.values)
-    if number is not None:
-        yield _slices(np.array([number], np.int32), total[None])
-
-
 def rarity_of(docs: DataFrame, k: int, buckets: int = COUNT_BUCKETS) -> np.ndarray:
-    """Per bucket the logarithm of how many grams of the corpus fall in it. The
-    driver gets one number per bucket."""
-    counted = docs.select("text").mapInArrow(count_grams(k, buckets), "slice int, counts array<long>")
-    table = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(add_slices, counted.schema).toArrow()
-    counts = np.ones(buckets, dtype=np.int64)
-    for number, own in zip(table["slice"].to_pylist(), table["counts"]):
-        counts[number * _SLICE : (number + 1) * _SLICE] = np.asarray(own.values)
+    """Per bucket the logarithm of how many grams of the corpus fall in it."""
+    counts = bucket_counts(docs, buckets, lambda texts: grams_of(words_of(texts), k)[0] >> np.uint64(6))
     return np.minimum(np.log2(np.maximum(counts, 1)) + 1, 63).astype(np.uint8)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagwright.llm import chat, jaccard, mixing, pages, substrings, templates
+from tagwright.llm import chat, jaccard, mixing, neighbours, pages, pseudo, quality, substrings, templates, tokens
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -57,6 +57,23 @@ from turns group by conv_id
 """
 
 
+def op2_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op3_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_files(table(spark, sf_dir, "documents"))
+
+
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = templates.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", "item_ids", "cover")
@@ -128,7 +145,11 @@ from words left join kept using (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_collision_neighbours": op2_collision_neighbours,
+    "op3_quality_attention": op3_quality_attention,
+    "op4_token_files": op4_token_files,
     "op5_template_decontamination": op5_template_decontamination,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
     "op9_substring_dedup": op9_substring_dedup,
