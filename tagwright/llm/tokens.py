@@ -10,7 +10,7 @@ that can be read alone. A block of the file format:
              stream, number of the document, number of the piece, ids
     body     range-coded outcomes, then the bytes that follow them (see coder)
 
-Blocks are rows of (part, block, data) that Spark writes and commits, so a lost
+Blocks are rows of (part, block, ids, data) that Spark writes and commits, so a lost
 executor leaves no half file. Reading checks every block; checksums of documents
 that span blocks are combined from those of their pieces, so ids never travel.
 
@@ -43,7 +43,7 @@ from tagwright.llm.words import chunks
 from tagwright.session import shared_path
 
 END = 0
-CACHED = 200_000  # distinct cuts a task keeps
+CACHED = 500_000  # distinct cuts a task keeps
 
 _MAGIC, _VERSION = b"TWTB", 1
 _HEADER = struct.Struct("<4sHIIIII")
@@ -118,7 +118,7 @@ def pack_block(ids: np.ndarray, pieces: list[tuple], outcomes: bytes, rest: byte
 
 
 def encode_blocks(path: str):
-    """Rows (part, block, data) from rows (id, text) in order of id."""
+    """Rows (part, block, ids, data) from rows (id, text) in order of id."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for one task
@@ -138,9 +138,11 @@ def encode_blocks(path: str):
             coded = coder.encode([i for i, _ in waiting])
             rows = [pack_block(own, parts, *body) for (own, parts), body in zip(waiting, coded)]
             numbers = np.arange(block, block + len(rows))
+            sizes = np.array([len(own) for own, _ in waiting])
             block, waiting = block + len(rows), []
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), part)), pa.array(numbers), pa.array(rows, pa.binary())], ["part", "block", "data"]
+                [pa.array(np.full(len(rows), part)), pa.array(numbers), pa.array(sizes), pa.array(rows, pa.binary())],
+                ["part", "block", "ids", "data"],
             )
 
         for chunk in chunks(batches, "text"):
@@ -256,14 +258,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
     """Write the ids of ``docs`` (doc_id, text) to ``path``."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), "text")
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
-    blocks = ordered.mapInArrow(encode_blocks(tokenizer or default_tokenizer()), "part long, block long, data binary")
+    blocks = ordered.mapInArrow(encode_blocks(tokenizer or default_tokenizer()), "part long, block long, ids long, data binary")
     blocks.write.mode("overwrite").option("compression", "none").parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document in the files at ``path``."""
-    blocks = spark.read.schema("part long, block long, data binary").parquet(path)
-    pieces = blocks.mapInArrow(
+    blocks = spark.read.schema("part long, block long, ids long, data binary").parquet(path)
+    pieces = blocks.select("part", "data").mapInArrow(
         read_pieces, "part long, id long, place long, number long, piece long, n long, crc long"
     )
     documents = pieces.groupBy("part", "number", "id", "place").agg(
@@ -271,7 +273,7 @@ def read_tokens(spark, path: str) -> DataFrame:
     )
     whole = documents.mapInArrow(join_pieces, "part long, id long, place long, n_tokens long, ids_crc32 long")
     # One row per range partition is ordered as a whole.
-    ends = pieces.groupBy("part").agg(F.sum("n").alias("ids"))
+    ends = blocks.groupBy("part").agg(F.sum("ids").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
     return whole.join(ends, "part").select(
