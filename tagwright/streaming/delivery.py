@@ -81,7 +81,7 @@ class DeliveryRun:
         """Label every file not seen before, then stop."""
         reader = self.spark.readStream.schema(self.verified_schema).option(
             "pathGlobFilter", "*.parquet"
-        )
+        ).option("maxFileAge", "36500d")  # old files count; the default leaves them out
         if self.files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
         query = (

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tagwright.operators.ledger import current_state
+from tagwright.operators.ledger import SUCCESS, current_state
 from tagwright.session import path_exists
 
 ATTEMPT_SCHEMA = (
@@ -93,9 +93,8 @@ class DeliveryStore:
             folded = self.spark.read.schema(ATTEMPT_SCHEMA).parquet(
                 f"{self.path('ledger')}/version={last['version']}"
             )
-            newer = attempts.filter(F.col("run_id") > last["folded_run"])
-            attempts = folded.select(*ATTEMPT_COLUMNS).unionByName(newer)
-        return current_state(attempts, ATTEMPT_ORDER, details)
+            attempts = folded.select(*ATTEMPT_COLUMNS).unionByName(_not_folded(attempts, last))
+        return _current(attempts, details)
 
     def compact(self, through_run: int) -> int:
         """Fold all attempts up to a finished run into a new version folder. The
@@ -108,11 +107,23 @@ class DeliveryStore:
             previous = self.spark.read.schema(ATTEMPT_SCHEMA).parquet(
                 f"{self.path('ledger')}/version={last['version']}"
             )
-            attempts = previous.select(*ATTEMPT_COLUMNS).unionByName(
-                attempts.filter(F.col("run_id") > last["folded_run"])
-            )
+            attempts = previous.select(*ATTEMPT_COLUMNS).unionByName(_not_folded(attempts, last))
         target = f"{self.path('ledger')}/version={version}"
-        current_state(attempts, ATTEMPT_ORDER).write.mode("overwrite").parquet(target)
+        _current(attempts).write.mode("overwrite").parquet(target)
         record = self.spark.createDataFrame([(version, through_run)], VERSION_SCHEMA)
         record.coalesce(1).write.mode("append").parquet(self.path("ledger_versions"))
         return version
+
+
+def _not_folded(attempts: DataFrame, last) -> DataFrame:
+    """Attempts that the folded version may lack: later runs, and successes of
+    any run, as results may come in after their run was folded."""
+    late = (F.col("run_id") > last["folded_run"]) | (F.col("status") == SUCCESS)
+    return attempts.filter(late)
+
+
+def _current(attempts: DataFrame, details: Sequence[str] | None = None) -> DataFrame:
+    """Latest attempt per key; a delivered key stays delivered, whatever later
+    runs have put in the outbox before its result was known."""
+    ranked = attempts.withColumn("_delivered", (F.col("status") == SUCCESS).cast("int"))
+    return current_state(ranked, ["_delivered", *ATTEMPT_ORDER], details).drop("_delivered")

@@ -285,3 +285,29 @@ def test_finished_run_leaves_nothing_to_resume(done):
     batches = progress.records().filter("not finished").orderBy("batch_num").collect()
     assert [r["batch_id"] for r in batches] == [0, 1, BACKLOG_BATCH]
     assert sum(r["n_processed"] for r in batches) == len(expected_labels())
+
+
+def test_a_success_after_compaction_counts(job):
+    job.run(1).process_new_files()
+    rows = [r for r in job.outbox() if r["batch_id"] == 0]
+    job.store.compact(through_run=1)
+    job.report(1, 0, [(r["address"], r["chain_id"], "success", None) for r in rows])
+    before = len(job.outbox())
+    assert all(job.statuses()[k] == "success" for k in keys(rows))
+    job.store.compact(through_run=1)
+    assert all(job.statuses()[k] == "success" for k in keys(rows))
+    job.add([("z1", "d1", "c1", None), ("z2", "d2", "c2", None)])
+    job.run(2).process_new_files()
+    assert len(job.outbox()) == before
+
+
+def test_a_late_success_outranks_a_newer_pending(job):
+    job.run(1).process_new_files()
+    rows = [r for r in job.outbox() if r["batch_id"] == 0]
+    job.add([("z1", "d1", "c1", None), ("z2", "d2", "c2", None)])
+    job.run(2).process_new_files()
+    job.report(1, 0, [(r["address"], r["chain_id"], "success", None) for r in rows])
+    before = len(job.outbox())
+    job.add([("z3", "d1", "c1", None), ("z4", "d2", "c2", None)])
+    job.run(3).process_new_files()
+    assert len(job.outbox()) == before

@@ -47,7 +47,7 @@ def test_written_table_keeps_schema_and_rows(spark):
 
 
 @pytest.mark.parametrize(
-    ("size", "partitions"), [(0, 200), (10**12, 7451), (10**14, 200_000), (10**13, 74506)]
+    ("size", "partitions"), [(0, 200), (10**12, 7451), (10**14, 745_059), (10**13, 74506)]
 )
 def test_partitions_grow_with_the_data(size, partitions):
     assert session.cluster_settings(size)["spark.sql.shuffle.partitions"] == str(partitions)
