@@ -16,7 +16,8 @@ that span blocks are combined from those of their pieces, so ids never travel.
 
 Texts are cut before spaces that stand before something else, where the
 tokenizer's own split always begins a piece; each distinct cut is encoded once
-and kept in a table that is emptied when it is full.
+and kept in a table that is emptied when it is full. New cuts are joined for one
+call of the tokenizer, and its ids dealt back by the bytes they stand for.
 
 Defined results: a null or empty text has the end id alone; a null id comes
 before all others; repeated rows stand one after the other and are told apart by
@@ -31,7 +32,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,8 @@ from tagwright.llm.words import chunks
 from tagwright.session import shared_path
 
 END = 0
-CACHED = 500_000  # distinct cuts a task keeps
+CACHED = 1_000_000  # distinct cuts a task keeps
+JOINED = 1_000  # new cuts in one call of the tokenizer
 
 _MAGIC, _VERSION = b"TWTB", 1
 _HEADER = struct.Struct("<4sHIIIII")
@@ -66,6 +67,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # Byte-level tokens are written with one character for each byte.
+        self.n_bytes = np.zeros(1 + max(vocabulary.values()), np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.clear()
 
     def clear(self) -> None:
@@ -86,18 +91,42 @@ class Encoder:
                 cuts[-1] += " " + part
         return cuts
 
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def add(self, new: list[str]) -> None:
+        """Encode cuts and keep their ids."""
+        joinable = [cut for cut in new if cut[:1] == " " and cut[1:2].strip()]
+        single = [cut for cut in new if not (cut[:1] == " " and cut[1:2].strip())]
+        groups = [joinable[i : i + JOINED] for i in range(0, len(joinable), JOINED)]
+        order, sizes, found = [], [], []
+        for group, ids in zip(groups, self.ids(["".join(g) for g in groups])):
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(self.n_bytes[ids])
+            want = np.frombuffer(pa.array(group, pa.string()).buffers()[1], np.int32)[1 : len(group) + 1]
+            at = np.searchsorted(ends, want)
+            if ends[-1] != want[-1] or (ends[at] != want).any():
+                single += group  # a special token, or an id across a cut
+                continue
+            order += group
+            sizes.append(np.diff(at + 1, prepend=0))
+            found.append(ids)
+        for cut, ids in zip(single, self.ids(single)):
+            order.append(cut)
+            sizes.append(np.array([len(ids)]))
+            found.append(np.array(ids, np.int64))
+        first = len(self.slot)
+        self.slot.update(zip(order, range(first, first + len(order))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+        self.table = np.concatenate([self.table, np.concatenate(found).astype(np.uint16)])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.slot) > CACHED:
             self.clear()
         cut = [self.cuts(t) for t in texts]
-        new = sorted(set().union(*cut).difference(self.slot))
+        new = set().union(*cut).difference(self.slot)
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            first = len(self.slot)
-            self.slot.update(zip(new, range(first, first + len(new))))
-            ends = self.starts[-1] + np.cumsum([len(i) for i in ids])
-            self.starts = np.concatenate([self.starts, ends])
-            self.table = np.concatenate([self.table, np.fromiter(chain.from_iterable(ids), np.uint16)])
+            self.add(sorted(new))
         out = []
         for own in cut:
             slots = np.fromiter(map(self.slot.__getitem__, own), np.int64, len(own))
