@@ -82,12 +82,20 @@ def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full name of a path, as file listings show it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(target).toString()
+
+
+def folders_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose names match a pattern with wildcards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [f.getPath().toString() for f in found or [] if f.isDirectory()]
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, which starts from file sizes: filters do
-    not lower it and joins multiply it, so it errs on the large side."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

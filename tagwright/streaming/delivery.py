@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -13,11 +12,11 @@ from tagwright.functions.tags import tags_json, validated, with_tags
 from tagwright.operators import ledger
 from tagwright.operators.batching import RETRY_SHARE
 from tagwright.operators.labels import label_rows, one_per_key
-from tagwright.operators.spread import HotKeys, find_hot_keys
 from tagwright.streaming.progress import ProgressLog
 from tagwright.streaming.store import DeliveryStore
 
-# Streaming batch ids count up from 0; the backlog of a run sorts behind them.
+# Streaming batch ids count up from 0 over all runs of a store; the backlog of a
+# run sorts behind them.
 BACKLOG_BATCH = 1 << 40
 
 OUTBOX_COLUMNS = ("verified_contract_id", "address", "chain_id", "chain_ref", "tags", "tags_json")
@@ -39,7 +38,7 @@ def _without_result(rows: DataFrame) -> DataFrame:
 
 
 def _attempts(rows: DataFrame, at: Column, first_step: int) -> DataFrame:
-    return ledger.attempt_rows(rows, at, first_step).drop("verified_contract_id")
+    return ledger.attempt_rows(rows, at, first_step).drop("verified_contract_id", "shown_address")
 
 
 @dataclass
@@ -48,7 +47,9 @@ class DeliveryRun:
 
     Each micro-batch is labelled once and stored with its verdicts; the outbox,
     the attempts and the failure log are read off that stored partition. A run
-    started again on the same store repeats the batch in flight and nothing else.
+    started again on the same store repeats the batch in flight and nothing else;
+    a batch that an earlier run left unfinished keeps that run's number, so its
+    partitions are replaced, not doubled.
     All waiting files make one batch unless ``files_per_batch`` cuts them up: every
     batch scans the two dimensions, so large batches are the cheap ones.
     """
@@ -67,10 +68,7 @@ class DeliveryRun:
 
     def __post_init__(self) -> None:
         self.progress = ProgressLog(self.spark, self.store.path("progress"))
-
-    @cached_property
-    def hot_addresses(self) -> HotKeys:
-        return find_hot_keys(self.deployments, ["address"])
+        self.resumed: set[int] = set()  # batches of earlier runs that this one finishes
 
     def run(self) -> None:
         self.process_new_files()
@@ -102,7 +100,8 @@ class DeliveryRun:
             .add("run_id", T.LongType())
             .add("batch_id", T.LongType())
         )
-        own = (F.col("run_id") == self.run_id) & (F.col("batch_id") == BACKLOG_BATCH)
+        begun = self._begun_in(BACKLOG_BATCH)
+        own = (F.col("run_id") == begun) & (F.col("batch_id") == BACKLOG_BATCH)
         done = self.store.read("labelled", labelled_schema).filter(~own)
         verified = self.spark.read.schema(self.verified_schema).parquet(self.verified_path)
         waiting = verified.join(
@@ -110,6 +109,16 @@ class DeliveryRun:
         )
         self.deliver(waiting, BACKLOG_BATCH)
 
+    def _begun_in(self, batch_id: int) -> int:
+        """The run under whose number a batch is written: the one that left it
+        unfinished, or this one. A streaming batch comes again only if it was not
+        finished; a backlog is finished when its progress was saved."""
+        runs = set(self.store.runs_of("labelled", batch_id))
+        if batch_id == BACKLOG_BATCH:
+            saved = self.progress.records().filter(F.col("batch_id") == BACKLOG_BATCH)
+            runs -= {r["run_id"] for r in saved.select("run_id").distinct().collect()}
+        return max(runs, default=self.run_id)
+
     def blocked_keys(self, batch_id: int) -> DataFrame:
         """Keys this batch must not send: delivered before, or handed to the
         outbox by an earlier batch of this run. Its own rows from an interrupted
@@ -117,7 +126,7 @@ class DeliveryRun:
         state = self.store.state(details=("status", "run_id", "batch_id"))
         earlier = (
             (F.col("status") == ledger.PENDING)
-            & (F.col("run_id") == self.run_id)
+            & ((F.col("run_id") == self.run_id) | F.col("batch_id").isin(*self.resumed))
             & (F.col("batch_id") < batch_id)
         )
         return state.filter((F.col("status") == ledger.SUCCESS) | earlier).select(*ledger.KEY)
@@ -125,11 +134,10 @@ class DeliveryRun:
     def deliver(self, verified: DataFrame, batch_id: int) -> None:
         """Label one batch and write its partitions."""
         started = self.clock()
+        run_id = self._begun_in(batch_id)
         rows = label_rows(
             verified,
-            ledger.deployments_with_sent(
-                self.deployments, self.blocked_keys(batch_id), self.hot_addresses
-            ),
+            ledger.deployments_with_sent(self.deployments, self.blocked_keys(batch_id)),
             self.compilations,
             self.verifier,
             carry=["already_sent"],
@@ -141,25 +149,28 @@ class DeliveryRun:
             F.count_if("already_sent").alias("n_skipped"),
             F.count_if(~F.col("already_sent")).alias("n_processed"),
         )
-        stored = self.store.write_batch("labelled", counted, self.run_id, batch_id)
+        stored = self.store.write_batch("labelled", counted, run_id, batch_id)
 
         fresh = stored.filter(~F.col("already_sent"))
         rejected = fresh.filter(~F.col("valid"))
         chosen = one_per_key(fresh.filter("valid"))
         outbox = self.store.write_batch(
-            "outbox", chosen.select(*OUTBOX_COLUMNS), self.run_id, batch_id
+            "outbox", chosen.select(*OUTBOX_COLUMNS), run_id, batch_id
         )
         at = F.lit(started).cast("timestamp_ntz")
         failed = _attempts(_without_result(one_per_key(rejected)), at, 0)
         pending = _attempts(_without_result(outbox.withColumn("valid", F.lit(True))), at, 2)
-        self.store.write_batch("attempts", failed.unionByName(pending), self.run_id, batch_id)
-        self.store.write_failures(_rejections(rejected, at), self.run_id, batch_id)
+        self.store.write_batch("attempts", failed.unionByName(pending), run_id, batch_id)
+        self.store.write_failures(_rejections(rejected, at), run_id, batch_id)
+        if run_id != self.run_id and batch_id != BACKLOG_BATCH:
+            self.resumed.add(batch_id)
+        in_files = self.files_per_batch is not None and batch_id != BACKLOG_BATCH
         self.progress.save(
-            run_id=self.run_id,
+            run_id=run_id,
             batch_id=batch_id,
-            batch_num=batch_id + 1,
+            batch_num=self.progress.batches_before(run_id, batch_id) + 1,
             batch_size=self.files_per_batch,
-            offset=None if self.files_per_batch is None else (batch_id + 1) * self.files_per_batch,
+            offset=(batch_id + 1) * self.files_per_batch if in_files else None,
             started_at=started,
             finished_at=self.clock(),
             **counts.get,

@@ -44,6 +44,11 @@ class ProgressLog:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
+    def batches_before(self, run_id: int, batch_id: int) -> int:
+        """Batches of the run recorded with a lower id."""
+        own = (F.col("run_id") == run_id) & (F.col("batch_id") < batch_id)
+        return self.records().filter(own).select("batch_id").distinct().count()
+
     def load(self) -> Row | None:
         """Latest record of the latest run, or nothing if that run has finished."""
         order = [

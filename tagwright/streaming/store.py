@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tagwright.operators.ledger import SUCCESS, current_state
-from tagwright.session import path_exists
+from tagwright.session import folders_like, path_exists
 
 ATTEMPT_SCHEMA = (
     "address string, chain_id long, status string, attempted_at timestamp_ntz, "
@@ -45,6 +45,11 @@ class DeliveryStore:
     def read_batch(self, table: str, run_id: int, batch_id: int, attempt: int = 1) -> DataFrame:
         return self.spark.read.parquet(self.partition(table, run_id, batch_id, attempt))
 
+    def runs_of(self, table: str, batch_id: int) -> list[int]:
+        """The runs that have a partition of this batch."""
+        found = folders_like(self.spark, f"{self.path(table)}/run_id=*/batch_id={batch_id}")
+        return sorted(int(f.rsplit("/", 2)[1].removeprefix("run_id=")) for f in found)
+
     def write_failures(
         self, rows: DataFrame, run_id: int, batch_id: int, attempt: int = 0
     ) -> None:

@@ -148,6 +148,46 @@ def test_interrupted_batch_is_done_again_once(star, tmp_path, monkeypatch):
     assert labelled.count() == len(expected_labels())
 
 
+def stop_at(monkeypatch, store, batch):
+    """Let a batch fail after its outbox and attempts were written."""
+
+    def fail(rows, run_id, batch_id, attempt=0):
+        if batch_id == batch:
+            raise RuntimeError("lost")
+        DeliveryStore.write_failures(store, rows, run_id, batch_id, attempt)
+
+    monkeypatch.setattr(store, "write_failures", fail)
+
+
+def test_interrupted_batch_goes_on_under_a_new_run(star, tmp_path, monkeypatch):
+    job = Job(star, tmp_path)
+    job.add(VERIFIED[:7])
+    job.add(VERIFIED[7:])
+    stop_at(monkeypatch, job.store, 0)
+    with pytest.raises(Exception, match="lost"):
+        job.run(1).process_new_files()
+    monkeypatch.undo()
+    job.run(2).run()
+    assert keys(job.outbox()) == sorted({(r["address"].lower(), r["chain_id"]) for r in VALID})
+    assert {(r["run_id"], r["batch_id"]) for r in job.outbox()} <= {(1, 0), (2, 1)}
+
+
+def test_interrupted_backlog_goes_on_under_a_new_run(star, tmp_path, monkeypatch):
+    early = Job(star, tmp_path, deployments=[d for d in DEPLOYMENTS if d[0] != "d2"])
+    early.add(VERIFIED)
+    early.run(1).run()
+    job = Job(star, tmp_path)
+    stop_at(monkeypatch, job.store, BACKLOG_BATCH)
+    with pytest.raises(Exception, match="lost"):
+        job.run(2).run()
+    monkeypatch.undo()
+    job.run(3).run()
+    late = [r for r in job.outbox() if r["run_id"] > 1]
+    assert [(r["verified_contract_id"], r["run_id"]) for r in late] == [("v03", 2)]
+    job.run(4).run()
+    assert len([r for r in job.outbox() if r["run_id"] > 1]) == 1
+
+
 def test_backlog_takes_rows_whose_dimension_came_late(star, tmp_path):
     early = Job(star, tmp_path, deployments=[d for d in DEPLOYMENTS if d[0] != "d2"])
     early.add(VERIFIED)
@@ -283,7 +323,7 @@ def test_finished_run_leaves_nothing_to_resume(done):
     progress = done.run(1).progress
     assert progress.load() is None
     batches = progress.records().filter("not finished").orderBy("batch_num").collect()
-    assert [r["batch_id"] for r in batches] == [0, 1, BACKLOG_BATCH]
+    assert [(r["batch_num"], r["batch_id"]) for r in batches] == [(1, 0), (2, 1), (3, BACKLOG_BATCH)]
     assert sum(r["n_processed"] for r in batches) == len(expected_labels())
 
 
