@@ -12,6 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tagwright.functions.columns import file_name, folder_name, megabytes
+from tagwright.session import qualified
 from tagwright.sources.tables import REQUIRED_TABLES
 
 MANIFEST_SCHEMA = (
@@ -30,10 +31,17 @@ def _files(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def _in_table_folder(data_dir: str) -> Column:
-    """Files directly inside a folder of ``data_dir``."""
-    root = data_dir.rstrip("/").rsplit("/", 1)[-1]
-    return F.try_element_at(F.split("path", "/"), F.lit(-3)) == root
+def _plain(path: str) -> str:
+    """A path as the scan shows it: no slashes for a host that is not there."""
+    return path.replace(":///", ":/", 1)
+
+
+def _in_table_folder(spark: SparkSession, data_dir: str) -> Column:
+    """Files directly inside a folder of ``data_dir``, told by their full names:
+    folders of the same name further down do not count."""
+    root = _plain(qualified(spark, data_dir)).rstrip("/") + "/"
+    below = F.substr("path", F.lit(len(root) + 1))
+    return F.col("path").startswith(root) & (F.size(F.split(below, "/")) == 2)
 
 
 def file_listing(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -41,17 +49,15 @@ def file_listing(spark: SparkSession, data_dir: str) -> DataFrame:
 
     Sizes come from a scan that never opens a file. Such a scan leaves empty
     files out, so the names come from the file index and a name without a size
-    has zero bytes.
+    has zero bytes. The driver holds those names anyway: Spark keeps the file
+    index of a folder there.
     """
     files = _files(spark, data_dir)
-    names = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path string")
-    sizes = as_listing(files.select("path", "length")).select("table_name", "file_name", "length")
-    listed = as_listing(names.filter(_in_table_folder(data_dir)).withColumn("length", F.lit(0)))
-    return (
-        listed.drop("length")
-        .join(sizes, ["table_name", "file_name"], "left")
-        .select("table_name", "file_name", "path", F.coalesce("length", F.lit(0)).alias("length"))
-    )
+    names = spark.createDataFrame([(_plain(unquote(p)),) for p in files.inputFiles()], "path string")
+    listed = names.filter(_in_table_folder(spark, data_dir))
+    sizes = files.select("path", "length")
+    sized = listed.join(sizes, "path", "left").fillna(0, ["length"])
+    return as_listing(sized)
 
 
 def as_listing(files: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def as_listing(files: DataFrame) -> DataFrame:
 
 def file_digests(spark: SparkSession, data_dir: str) -> DataFrame:
     """SHA-256 of each parquet file; one file per row, read whole by its task."""
-    files = _files(spark, data_dir).filter(_in_table_folder(data_dir))
+    files = _files(spark, data_dir).filter(_in_table_folder(spark, data_dir))
     return files.select("path", content_digest(F.col("content")).alias("sha256"))
 
 

@@ -49,6 +49,26 @@ def test_listing_has_table_files_and_empty_ones(spark, folder):
     }
 
 
+def test_copies_further_down_do_not_count(spark, tmp_path, monkeypatch):
+    sizes = {
+        "data/verified_contracts/a.parquet": 3,
+        "data/backup/verified_contracts/a.parquet": 70,
+        "data/backup/data/verified_contracts/zz.parquet": 5,
+        "data/data/verified_contracts/b.parquet": 6,
+    }
+    for name, size in sizes.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * size)
+    for root in ("data", "data/", "data/."):
+        listing = as_dicts(files.file_listing(spark, f"{tmp_path}/{root}"))
+        assert [(r["table_name"], r["file_name"], r["length"]) for r in listing] == [
+            ("verified_contracts", "a.parquet", 3)
+        ]
+    digests = as_dicts(files.file_digests(spark, f"{tmp_path}/data/."))
+    assert [r["sha256"] for r in digests] == [hashlib.sha256(b"xxx").hexdigest()]
+
+
 def test_required_tables(spark, folder):
     listing = files.file_listing(spark, folder)
     assert files.check_required(listing) == {
