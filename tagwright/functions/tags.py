@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagwright.functions.columns import chain_ref, is_address, is_tx_hash, stripped
 
@@ -26,11 +26,24 @@ TAGS = (
 MIN_TAGS = 2
 
 
-def tag_struct() -> Column:
-    """Struct of the tags of a label row. A tag that is missing, malformed or
-    empty is NULL, which means: not part of the tag set."""
+def block_number(kind: T.DataType) -> Column:
+    """The deployment block as a whole number. Whole-number columns keep their
+    type, so that none is too wide; text that is no whole number is NULL."""
+    block = F.col("deployment_block")
+    if isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0:
+        return block
+    if isinstance(kind, T.StringType):
+        text = stripped(block)
+        return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("decimal(38,0)"))
+    return block.try_cast("bigint")
+
+
+def tag_struct(block_kind: T.DataType) -> Column:
+    """Struct of the tags of a label row, whose block is of type ``block_kind``. A
+    tag that is missing, malformed or empty is NULL, which means: not part of the
+    tag set."""
     language = F.lower("code_language")
-    block = F.col("deployment_block").try_cast("bigint")
+    block = block_number(block_kind)
     name = stripped(F.col("contract_name"))
     values = {
         "source_code_verified": F.col("source_code_verified"),
@@ -58,7 +71,7 @@ def count_present(columns: list[Column]) -> Column:
 
 def with_tags(labels: DataFrame) -> DataFrame:
     """Label rows with ``tags`` and ``tag_count``."""
-    return labels.withColumn("tags", tag_struct()).withColumn(
+    return labels.withColumn("tags", tag_struct(labels.schema["deployment_block"].dataType)).withColumn(
         "tag_count", count_present([F.col(f"tags.{tag}") for tag in TAGS])
     )
 

@@ -103,6 +103,15 @@ def test_json_holds_the_present_tags_in_key_order(prepared, number):
     assert list(parsed) == sorted(parsed)
 
 
+def test_wide_block_numbers_stay(spark):
+    wide = 2**63 + 1
+    for kind in ("string", "decimal(38,0)"):
+        row = label(spark).withColumn("deployment_block", F.lit(str(wide)).cast(kind))
+        tagged = with_tags(row).withColumn("json", tags_json())
+        assert int(tagged.first()["tags"]["deployment_block"]) == wide
+        assert f'"deployment_block":{wide}' in tagged.first()["json"]
+
+
 def test_block_number_that_is_no_integer_is_left_out(spark):
     row = label(spark).withColumn("deployment_block", F.lit("12.5"))
     assert with_tags(row).first()["tags"]["deployment_block"] is None
