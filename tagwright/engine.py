@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -19,10 +19,20 @@ from tagwright.sources.tables import create_views, load_tables
 class LabelEngine:
     """Every report and label relation, each as a lazy DataFrame.
 
-    ``verifier`` is the value of the ``source_code_verified`` tag.
+    ``verifier`` is the value of the ``source_code_verified`` tag. Skewed keys are
+    left to AQE unless ``rows_per_slot`` is given: then the keys of the fact table
+    and the addresses are counted once, and one with more rows is spread over
+    tasks of about that many.
     """
 
-    def __init__(self, tables: dict[str, DataFrame], verifier: str, drop_zero_address: bool = True):
+    def __init__(
+        self,
+        tables: dict[str, DataFrame],
+        verifier: str,
+        drop_zero_address: bool = True,
+        rows_per_slot: int | None = None,
+    ):
+        self.rows_per_slot = rows_per_slot
         self.tables = tables
         self.verifier = verifier
         self.drop_zero_address = drop_zero_address
@@ -50,11 +60,14 @@ class LabelEngine:
 
     @cached_property
     def hot_fact_keys(self) -> HotKeys:
-        return find_hot_keys(self.verified, label_ops.FACT_KEYS)
+        return self._hot(self.verified, label_ops.FACT_KEYS)
 
     @cached_property
     def hot_addresses(self) -> HotKeys:
-        return find_hot_keys(self.deployments, ["address"])
+        return self._hot(self.deployments, ["address"])
+
+    def _hot(self, rows: DataFrame, keys: Sequence[str]) -> HotKeys:
+        return {} if self.rows_per_slot is None else find_hot_keys(rows, keys, self.rows_per_slot)
 
     # -- reports ------------------------------------------------------------
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagwright.functions.columns import prefixed_hex
 from tagwright.functions.tags import raw_tag_struct
-from tagwright.operators.ordering import MAX_TOP_K, order_rows
-from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
+from tagwright.operators.ordering import order_rows
+from tagwright.operators.spread import HotKeys, spread_join
 
 ZERO_ADDRESS = bytes(20)
 
@@ -58,10 +58,8 @@ def joined(
 
     Both dimensions are filtered and pruned before their join. ``carry`` names
     further deployment columns to pass through; ``hot`` are the hot values of
-    the fact table's keys, looked up here unless given.
+    the fact table's keys (``find_hot_keys``); without them skew is left to AQE.
     """
-    if hot is None:
-        hot = find_hot_keys(verified, FACT_KEYS)
     fact = verified.select("id", "deployment_id", "compilation_id", "created_at")
     deployed = located_deployments(deployments, drop_zero_address).select(
         F.col("id").alias("deployment_id"),
@@ -75,7 +73,7 @@ def joined(
     compiled = compilations.filter(F.col("language").isNotNull()).select(
         F.col("id").alias("compilation_id"), "language", "compiler", "version", "name"
     )
-    spread = {"hot": hot, "spread_by": ["id"]}
+    spread = {"hot": hot or {}, "spread_by": ["id"]}
     with_deployment = spread_join(fact, deployed, ["deployment_id"], **spread)
     return spread_join(with_deployment, compiled, ["compilation_id"], **spread)
 
@@ -136,15 +134,15 @@ def one_per_key(labels: DataFrame) -> DataFrame:
 def label_page(labels: DataFrame, limit: int, offset: int = 0) -> DataFrame:
     """``limit`` labels in id order after skipping ``offset``.
 
-    A shallow page is a top-k; a deep one would keep offset + limit rows in each
-    task, so it is read by position from a range-ordered table instead.
+    A top-k: every task keeps offset + limit rows. For pages far down, or many of
+    them, take ``deep_label_page`` or a stored order.
     """
-    if offset + limit <= MAX_TOP_K:
-        return labels.orderBy(*LABEL_ORDER).offset(offset).limit(limit)
-    return deep_label_page(labels, limit, offset)
+    return labels.orderBy(*LABEL_ORDER).offset(offset).limit(limit)
 
 
 def deep_label_page(labels: DataFrame, limit: int, offset: int) -> DataFrame:
+    """The same page, read by position from a range-ordered table that is written
+    first; its cost does not depend on the offset."""
     return order_rows(labels, LABEL_ORDER).page(limit, offset)
 
 

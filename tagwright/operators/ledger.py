@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagwright.functions.columns import one_line, percentage
-from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
+from tagwright.operators.spread import HotKeys, spread_join
 
 SUCCESS, FAILED, PENDING = "success", "failed", "pending"
 VALIDATION_ERROR = "Validation failed"
@@ -84,21 +84,30 @@ def _in_last_hour(as_of):
 
 
 def unsent(
-    labels: DataFrame, sent: DataFrame, row_id: str = "verified_contract_id"
+    labels: DataFrame,
+    sent: DataFrame,
+    row_id: str = "verified_contract_id",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Labels whose key is not among the ``sent`` keys. Meant for a stored label
     table; straight from the three tables, filter the deployments instead."""
-    return _against_sent(labels, sent, "left_anti", row_id)
+    return _against_sent(labels, sent, "left_anti", row_id, hot)
 
 
 def already_sent(
-    labels: DataFrame, sent: DataFrame, row_id: str = "verified_contract_id"
+    labels: DataFrame,
+    sent: DataFrame,
+    row_id: str = "verified_contract_id",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Labels whose key is among the ``sent`` keys: the rows a run skips."""
-    return _against_sent(labels, sent, "left_semi", row_id)
+    return _against_sent(labels, sent, "left_semi", row_id, hot)
 
 
-def _against_sent(labels: DataFrame, sent: DataFrame, how: str, row_id: str) -> DataFrame:
+def _against_sent(
+    labels: DataFrame, sent: DataFrame, how: str, row_id: str, hot: HotKeys | None
+) -> DataFrame:
+    """``hot`` are the hot values of ``_address``, the lower-case address."""
     keyed = labels.withColumn("_address", F.lower("address"))
     keys = sent.withColumnRenamed("address", "_address")
     return spread_join(
@@ -106,7 +115,7 @@ def _against_sent(labels: DataFrame, sent: DataFrame, how: str, row_id: str) ->
         keys,
         ["_address", "chain_id"],
         how,
-        hot=find_hot_keys(keyed, ["_address"]),
+        hot=hot or {},
         spread_by=[row_id],
     ).select(*labels.columns)
 
@@ -124,10 +133,8 @@ def _join_deployments(
 ) -> DataFrame:
     """The key of a label comes from its deployment alone, so the ledger meets
     the deployments before the fact table is joined: fewer, narrower rows."""
-    if hot is None:
-        hot = find_hot_keys(deployments, ["address"])
     return spread_join(
-        deployments, _binary_key(keyed), list(KEY), how, hot=hot, spread_by=["id"]
+        deployments, _binary_key(keyed), list(KEY), how, hot=hot or {}, spread_by=["id"]
     )
 
 
@@ -206,6 +213,7 @@ def deployments_with_delivery(
 def attempt_rows(labels: DataFrame, started_at, first_step: int = 0) -> DataFrame:
     """Ledger transitions of validated labels that carry a delivery result.
 
+    ``shown_address`` is the address as the label has it, for the failure log.
     Every label is pending first. An invalid one then fails validation; a valid
     one takes the status that came back, if any.
     """
@@ -235,10 +243,11 @@ def attempt_rows(labels: DataFrame, started_at, first_step: int = 0) -> DataFram
     return labels.select(
         "verified_contract_id",
         F.lower("address").alias("address"),
+        F.col("address").alias("shown_address"),
         "chain_id",
         "tags_json",
         F.explode(steps).alias("_step"),
-    ).select("verified_contract_id", *KEY, "_step.*", "tags_json")
+    ).select("verified_contract_id", *KEY, "shown_address", "_step.*", "tags_json")
 
 
 def failed_keys(state: DataFrame) -> DataFrame:

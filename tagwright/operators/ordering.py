@@ -13,10 +13,6 @@ from tagwright.session import shared_path, write_shared
 SLOT = "_slot"  # partition number in the high bits, row number in the low 33
 _ROW_BITS = 33
 
-# Rows a top-k may keep in memory per task, and files a page names one by one.
-MAX_TOP_K = 100_000
-MAX_FILES = 50
-
 
 @dataclass(frozen=True)
 class OrderedRows:
@@ -64,27 +60,14 @@ class OrderedRows:
     def page(self, limit: int, offset: int = 0) -> DataFrame:
         """``limit`` rows from ``offset``, in order.
 
-        Only the files of the partitions that hold them are opened, and of those
-        only the row groups of the slot range. A page of ordinary size is a
-        top-k, which needs no shuffle; a very large one is sorted.
+        The slot range is pushed down, so only the row groups that hold them are
+        read; the page alone is sorted.
         """
         end = min(offset + limit, self.total)
         if offset >= end:
             return self.rows.filter(F.lit(False))
         wanted = F.col(SLOT).between(self._slot_at(offset), self._slot_at(end - 1))
-        page = self._files(offset, end).filter(wanted).orderBy(SLOT)
-        if limit <= MAX_TOP_K:
-            page = page.limit(limit)
-        return page.drop(SLOT)
-
-    def _files(self, start: int, end: int) -> DataFrame:
-        """The stored rows of the partitions that overlap these positions. A
-        partition is the file its task wrote, named by the task's number."""
-        parts = [part for part, first, n in self.parts if first < end and start < first + n]
-        if len(parts) > MAX_FILES:
-            return self.stored
-        paths = [f"{self.path}/part-{part:05d}-*.parquet" for part in parts]
-        return self.stored.sparkSession.read.schema(self.stored.schema).parquet(*paths)
+        return self.stored.filter(wanted).orderBy(SLOT).drop(SLOT)
 
     def batch_count(self, batch_size: int) -> int:
         return -(-self.total // batch_size)

@@ -6,26 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tagwright.session import estimated_bytes
-
-# A relation below this estimated size is not searched for hot values: even all
-# of it is a fair load for one task.
-SMALL_BYTES = 64 * 1024 * 1024
-
-# Rows of one key that a single task should get. A key above it is spread over
-# several tasks; AQE's skew join takes care of what lies below.
-ROWS_PER_SLOT = 2_000_000
-
 HotKeys = dict[str, DataFrame]
 
 
 def find_hot_keys(
-    rows: DataFrame,
-    keys: Sequence[str],
-    rows_per_slot: int = ROWS_PER_SLOT,
-    small_bytes: int = SMALL_BYTES,
+    rows: DataFrame, keys: Sequence[str], rows_per_slot: int
 ) -> HotKeys:
-    """Values of each key column with more than ``rows_per_slot`` rows, and the
+    """Looks for the values to spread; worth it where AQE's skew join, which
+    splits a large partition after the shuffle, does not help enough.
+
+    Values of each key column with more than ``rows_per_slot`` rows, and the
     slots each of them needs. Columns without such a value have no entry.
 
     One narrow scan counts all columns at once, combining on the map side, so a
@@ -33,8 +23,6 @@ def find_hot_keys(
     per column can qualify: that bounds what reaches the driver, and later the
     broadcast (10^12 rows: 500,000 short records at the very most).
     """
-    if estimated_bytes(rows) < small_bytes:
-        return {}
     spark = rows.sparkSession
     counted = (
         rows.select(*keys)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagwright.functions.columns import percentage
-from tagwright.operators.spread import HotKeys, find_hot_keys, spread_join
+from tagwright.operators.spread import HotKeys, spread_join
 
 # Shares below which a check warns.
 JOIN_HEALTH_SHARE = 0.8
@@ -84,44 +84,39 @@ def match_totals(
     compilations: DataFrame,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """All join and completeness counts in one row and one pass.
+    """All join and completeness counts in one row and one scan of each table.
 
-    Deployment facts are summed per compilation before the compilations come in,
-    weighted by how many of their rows qualify. Repeated dimension ids therefore
-    count as often as a plain join would return them.
+    Flags are summed per deployment, those sums per compilation, and then
+    weighted by how many rows of the compilation qualify. Repeated dimension ids
+    therefore count as often as a plain join would return them.
     """
-    if hot is None:
-        hot = find_hot_keys(verified, ["deployment_id"])
     located = F.col("address").isNotNull()
-    flags = deployments.filter(F.col("chain_id").isNotNull()).select(
-        F.col("id").alias("deployment_id"),
-        _one_if(located).alias("n_located"),
-        _one_if(located & F.col("transaction_hash").isNotNull()).alias("n_tx"),
-        _one_if(located & F.col("block_number").isNotNull()).alias("n_block"),
-        _one_if(located & F.col("deployer").isNotNull()).alias("n_deployer"),
-    )
-    sums = ("n_verified", "n_deployed", "n_located", "n_tx", "n_block", "n_deployer")
-    deployed = spread_join(
-        verified.select("id", "deployment_id", "compilation_id"),
-        flags,
-        ["deployment_id"],
-        hot=hot,
-        spread_by=["id"],
-    ).select(
-        "compilation_id",
-        F.lit(0).cast("long").alias("n_verified"),
-        F.lit(1).cast("long").alias("n_deployed"),
-        *sums[2:],
-    )
-    alone = verified.select(
-        "compilation_id",
-        F.lit(1).cast("long").alias("n_verified"),
-        *[F.lit(0).cast("long").alias(c) for c in sums[1:]],
-    )
+    flags = (
+        deployments.filter(F.col("chain_id").isNotNull())
+        .groupBy(F.col("id").alias("deployment_id"))
+        .agg(
+            F.count(F.lit(1)).alias("n_deployed"),
+            F.count_if(located).alias("n_located"),
+            F.count_if(located & F.col("transaction_hash").isNotNull()).alias("n_tx"),
+            F.count_if(located & F.col("block_number").isNotNull()).alias("n_block"),
+            F.count_if(located & F.col("deployer").isNotNull()).alias("n_deployer"),
+        )
+    )
+    sums = flags.columns[1:]
     per_compilation = (
-        deployed.unionByName(alone)
+        spread_join(
+            verified.select("id", "deployment_id", "compilation_id"),
+            flags,
+            ["deployment_id"],
+            "left",
+            hot=hot or {},
+            spread_by=["id"],
+        )
         .groupBy("compilation_id")
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        .agg(
+            F.count(F.lit(1)).alias("n_verified"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+        )
     )
     weights = compilations.groupBy(F.col("id").alias("compilation_id")).agg(
         F.count(F.lit(1)).alias("k_rows"),

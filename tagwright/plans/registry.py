@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tagwright.engine import LabelEngine
 from tagwright.functions.tags import TAGS, with_complete_tags
 from tagwright.operators import batching, labels as label_ops, ledger, quality, stats
 from tagwright.operators.labels import LABEL_COLUMNS
@@ -46,6 +47,11 @@ def query(oracle: str | None):
     return add
 
 
+# A deployment that a third of the facts are given in ``skewed_label_rows``, and
+# the rows of one key from which on they are spread there.
+HOT_DEPLOYMENT, HOT_ROWS_PER_SLOT = 1, 1_000
+
+
 # -- tables and joins -----------------------------------------------------------
 
 COUNT_UNION = " union all ".join(
@@ -81,9 +87,9 @@ def join_health(s: Sample) -> DataFrame:
 @query(
     """
     select chain_id, count(*) as contract_count
-    from verified_contracts vc join contract_deployments cd on vc.deployment_id = cd.id
-    where chain_id is not null group by chain_id
-    order by contract_count desc, chain_id limit 20"""
+    from facts join (select id as deployment_id, chain_id from contract_deployments)
+      using (deployment_id)
+    group by chain_id having chain_id is not null order by 2 desc, 1 limit 20"""
 )
 def chain_distribution(s: Sample) -> DataFrame:
     return s.engine.chain_distribution()
@@ -91,20 +97,19 @@ def chain_distribution(s: Sample) -> DataFrame:
 
 @query(
     """
-    select lower(language) as language, count(*) as contract_count
-    from verified_contracts vc join compiled_contracts cc on vc.compilation_id = cc.id
-    where language is not null group by lower(language)"""
+    select code_language as language, count(*) as contract_count
+    from facts join built using (compilation_id) group by code_language"""
 )
 def language_distribution(s: Sample) -> DataFrame:
     return s.engine.language_distribution()
 
 
 _PARTS = {
-    "with_deployment_tx": "cd.transaction_hash",
-    "with_deployment_block": "cd.block_number",
-    "with_deployer_address": "cd.deployer",
-    "with_code_language": "cc.language",
-    "with_code_compiler": "case when cc.language is not null then cc.version end",
+    "with_deployment_tx": "deployment_tx is not null",
+    "with_deployment_block": "deployment_block is not null",
+    "with_deployer_address": "deployer_address is not null",
+    "with_code_language": "language is not null",
+    "with_code_compiler": "language is not null and version is not null",
 }
 
 
@@ -116,11 +121,10 @@ _PARTS = {
         for p in _PARTS
     )
     + " from (select count(*) as total_contracts, "
-    + ", ".join(f"count({c}) as {p}" for p, c in _PARTS.items())
-    + """ from verified_contracts vc
-          join contract_deployments cd on vc.deployment_id = cd.id
-          join compiled_contracts cc on vc.compilation_id = cc.id
-          where cd.chain_id is not null and cd.address is not null)"""
+    + ", ".join(f"count(*) filter (where {rule}) as {p}" for p, rule in _PARTS.items())
+    + """ from facts join placed using (deployment_id)
+          join (select id as compilation_id, language, version from compiled_contracts)
+            using (compilation_id))"""
 )
 def completeness(s: Sample) -> DataFrame:
     return s.engine.completeness()
@@ -134,6 +138,23 @@ def label_rows(s: Sample) -> DataFrame:
     return s.labels
 
 
+@query(
+    f"""
+    select id as verified_contract_id, address, chain_id, code_language
+    from (select id, compilation_id,
+                 case when id % 3 = 0 then {HOT_DEPLOYMENT} else deployment_id end as deployment_id
+          from facts)
+    join placed using (deployment_id) join built using (compilation_id)
+    where address <> '0x' || repeat('0', 40)"""
+)
+def skewed_label_rows(s: Sample) -> DataFrame:
+    """Labels when one deployment holds a third of all rows, spread over tasks."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(HOT_DEPLOYMENT)).otherwise(F.col("deployment_id"))
+    tables = {**s.engine.tables, "verified_contracts": s.verified.withColumn("deployment_id", hot)}
+    engine = LabelEngine(tables, s.engine.verifier, rows_per_slot=HOT_ROWS_PER_SLOT)
+    return engine.labels().select("verified_contract_id", "address", "chain_id", "code_language")
+
+
 @query("select * from label_rows_all")
 def label_rows_with_zero_address(s: Sample) -> DataFrame:
     return label_ops.label_rows(
@@ -496,18 +517,19 @@ _STEPS = f"""
 )
 def ledger_transitions(s: Sample) -> DataFrame:
     fresh = s.delivery.filter(~F.col("already_sent"))
-    return ledger.attempt_rows(fresh, START).drop("tx_hash", "tags_json")
+    return ledger.attempt_rows(fresh, START).drop("shown_address", "tx_hash", "tags_json")
 
 
 @query(
     f"""{_STEPS}
-    select verified_contract_id, attempted_at, lower(address) as address, chain_id,
+    select verified_contract_id, attempted_at, address, chain_id,
            replace(coalesce(error_message, ''), chr(10), ' ') as error_message
     from steps where status = 'failed'"""
 )
 def failure_log(s: Sample) -> DataFrame:
     attempts = ledger.attempt_rows(s.delivery.filter(~F.col("already_sent")), START)
-    return ledger.failure_log_rows(attempts, "verified_contract_id").drop("tags_json")
+    shown = attempts.withColumn("address", F.col("shown_address"))
+    return ledger.failure_log_rows(shown, "verified_contract_id").drop("tags_json")
 
 
 # -- file sets ------------------------------------------------------------------------

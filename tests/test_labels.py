@@ -49,7 +49,7 @@ def test_hot_keys_do_not_change_the_labels(star):
     rows += [(f"b{i:03}", "d2" if i % 2 else "d6", "c1", None) for i in range(120)]
     rows += [(f"n{i:03}", None, "c1", None) for i in range(60)]
     verified = star.verified(rows)
-    hot = find_hot_keys(verified, ops.FACT_KEYS, rows_per_slot=10, small_bytes=0)
+    hot = find_hot_keys(verified, ops.FACT_KEYS, rows_per_slot=10)
     assert set(hot) == set(ops.FACT_KEYS)
     got = ops.label_rows(verified, star.deployments(), star.compilations(), "registry", hot=hot)
     assert in_order(as_dicts(got)) == in_order(expected_labels(rows))
@@ -99,12 +99,6 @@ def test_pages_by_top_k_and_by_position_agree(star, limit, offset):
     assert as_dicts(ops.deep_label_page(rows_of(star), limit, offset)) == want
 
 
-def test_deep_page_goes_by_position(star, monkeypatch):
-    monkeypatch.setattr(ops, "MAX_TOP_K", 2)
-    want = sorted(expected_labels(), key=lambda r: r["verified_contract_id"])[1:4]
-    assert as_dicts(ops.label_page(rows_of(star), 3, 1)) == want
-
-
 def test_preview_is_nested(star):
     (row,) = as_dicts(ops.preview(rows_of(star), 2))
     assert row["sample_count"] == 2

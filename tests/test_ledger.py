@@ -88,7 +88,6 @@ def test_only_success_keeps_a_label_back(star, hot):
             engine.deployments.unionByName(engine.deployments),
             ["address"],
             rows_per_slot=1,
-            small_bytes=0,
         )
     state = ledger.current_state(attempts(star.spark, HISTORY))
     rows = as_dicts(engine.labels())

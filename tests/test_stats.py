@@ -38,7 +38,7 @@ def test_match_totals(star, repeated, hot):
     if hot:
         verified += [(f"h{i}", "d1", "c1", None) for i in range(50)]
     vc = star.verified(verified)
-    keys = find_hot_keys(vc, ["deployment_id"], rows_per_slot=5, small_bytes=0) if hot else None
+    keys = find_hot_keys(vc, ["deployment_id"], rows_per_slot=5) if hot else None
     totals = stats.match_totals(
         vc, star.deployments(deployments), star.compilations(compilations), keys
     )
