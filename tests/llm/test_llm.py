@@ -290,3 +290,17 @@ def test_empty_tables(spark, none):
         assert out.collect() == []
 
 
+
+
+def test_joined_cuts_give_the_ids_of_the_library():
+    import random
+
+    from tagwright.llm import tokens
+
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    parts = [" ", "  ", "\n", "a", "b1", "'s", "<|endoftext|>", "<|", "é", "　", "\x1f", "😀", "."]
+    rng = random.Random(1)
+    texts = ["", " ", "a ", " a", *("".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(500))]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == [*want, tokens.END]
