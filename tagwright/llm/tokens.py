@@ -16,8 +16,9 @@ that span blocks are combined from those of their pieces, so ids never travel.
 
 Texts are cut before spaces that stand before something else, where the
 tokenizer's own split always begins a piece; each distinct cut is encoded once
-and kept in a table that is emptied when it is full. New cuts are joined for one
-call of the tokenizer, and its ids dealt back by the bytes they stand for.
+and kept, from task to task of a worker process, in a table that is emptied when
+it is full. New cuts are joined for one call of the tokenizer, and its ids dealt
+back by the bytes they stand for.
 
 Defined results: a null or empty text has the end id alone; a null id comes
 before all others; repeated rows stand one after the other and are told apart by
@@ -43,7 +44,7 @@ from tagwright.llm.words import chunks
 from tagwright.session import shared_path
 
 END = 0
-CACHED = 1_000_000  # distinct cuts a task keeps
+CACHED = 800_000  # distinct cuts a worker process keeps
 JOINED = 1_000  # new cuts in one call of the tokenizer
 
 _MAGIC, _VERSION = b"TWTB", 1
@@ -59,8 +60,24 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Slots(dict):
+    """Numbers of cuts, in order of appearance; ``new`` are those to be encoded."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = slot = len(self)
+        self.new.append(key)
+        return slot
+
+
 class Encoder:
-    """Ids of texts by one tokenizer."""
+    """Ids of texts by one tokenizer.
+
+    A cut is known by a key: what follows its space, or, if it has none before
+    something else, a space and the cut.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,36 +91,41 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.starts, self.table = np.zeros(1, np.int64), np.empty(0, np.uint16)
+        self.slot = _Slots()
+        self.starts, self.counts, self.table = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint16)
 
-    def cuts(self, text: str) -> list[str]:
+    def keys(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
-            return [text]
+            return [" " + text]
         parts = text.split(" ")
         if not _WIDE.search(text):
-            return [parts[0], *[" " + part for part in parts[1:]]]
-        cuts = [parts[0]]
+            parts[0] = " " + parts[0]
+            return parts
+        keys = [" " + parts[0]]
         for part in parts[1:]:
             if part and not part[0].isspace():
-                cuts.append(" " + part)
+                keys.append(part)
             else:
-                cuts[-1] += " " + part
-        return cuts
+                keys[-1] += " " + part
+        return keys
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def add(self, new: list[str]) -> None:
-        """Encode cuts and keep their ids."""
-        joinable = [cut for cut in new if cut[:1] == " " and cut[1:2].strip()]
-        single = [cut for cut in new if not (cut[:1] == " " and cut[1:2].strip())]
+    def add(self) -> None:
+        """Encode new cuts and keep their ids."""
+        new, self.slot.new = self.slot.new, []
+        first = len(self.counts)
+        cuts = [key[1:] if key[0] == " " else " " + key for key in new]
+        joinable = [i for i, key in enumerate(new) if key[0] != " "]
+        single = [i for i, key in enumerate(new) if key[0] == " "]
         groups = [joinable[i : i + JOINED] for i in range(0, len(joinable), JOINED)]
         order, sizes, found = [], [], []
-        for group, ids in zip(groups, self.ids(["".join(g) for g in groups])):
+        for group, ids in zip(groups, self.ids(["".join([cuts[i] for i in g]) for g in groups])):
             ids = np.array(ids, np.int64)
             ends = np.cumsum(self.n_bytes[ids])
-            want = np.frombuffer(pa.array(group, pa.string()).buffers()[1], np.int32)[1 : len(group) + 1]
+            own = pa.array([cuts[i] for i in group], pa.string())
+            want = np.frombuffer(own.buffers()[1], np.int32)[1 : len(group) + 1]
             at = np.searchsorted(ends, want)
             if ends[-1] != want[-1] or (ends[at] != want).any():
                 single += group  # a special token, or an id across a cut
@@ -111,32 +133,44 @@ class Encoder:
             order += group
             sizes.append(np.diff(at + 1, prepend=0))
             found.append(ids)
-        for cut, ids in zip(single, self.ids(single)):
-            order.append(cut)
+        for i, ids in zip(single, self.ids([cuts[i] for i in single])):
+            order.append(i)
             sizes.append(np.array([len(ids)]))
             found.append(np.array(ids, np.int64))
-        first = len(self.slot)
-        self.slot.update(zip(order, range(first, first + len(order))))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+        counts = np.concatenate(sizes)
+        ends = len(self.table) + np.cumsum(counts)
+        self.starts = np.append(self.starts, np.empty(len(new), np.int32))
+        self.counts = np.append(self.counts, np.empty(len(new), np.int32))
+        self.starts[first + np.array(order)], self.counts[first + np.array(order)] = ends - counts, counts
         self.table = np.concatenate([self.table, np.concatenate(found).astype(np.uint16)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.slot) > CACHED:
             self.clear()
-        cut = [self.cuts(t) for t in texts]
-        new = set().union(*cut).difference(self.slot)
-        if new:
-            self.add(sorted(new))
+        keys = [self.keys(t) for t in texts]
+        slots = [np.fromiter(map(self.slot.__getitem__, own), np.int64, len(own)) for own in keys]
+        if self.slot.new:
+            self.add()
         out = []
-        for own in cut:
-            slots = np.fromiter(map(self.slot.__getitem__, own), np.int64, len(own))
-            start, n = self.starts[slots], self.starts[slots + 1] - self.starts[slots]
+        for own in slots:
+            n = self.counts[own]
             ends = np.cumsum(n)
-            spots = np.arange(ends[-1]) + np.repeat(start - (ends - n), n)
+            spots = np.arange(ends[-1]) + np.repeat(self.starts[own] - (ends - n), n)
             out.append(np.append(self.table[spots], np.uint16(END)))
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker process, with the cuts that its tasks have met."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -151,7 +185,7 @@ def encode_blocks(path: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for one task
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path), TaskContext.get().partitionId()
         waiting: list[tuple[np.ndarray, list[tuple]]] = []  # full blocks
         ids: list[np.ndarray] = []
         pieces: list[tuple] = []
