@@ -61,11 +61,11 @@ class _Model:
         last = self.last[:n]
         self.at1 = self.base1[:n] + ((last * 40503 >> 4) & (_T1 - 1))
         self.at2 = self.base2[:n] + ((last * 40503 + self.before[:n] * 30011 >> 5) & (_T2 - 1))
-        entry1, entry2 = self.table1[self.at1], self.table2[self.at2]
+        entry1, entry2 = self.table1.take(self.at1), self.table2.take(self.at2)
         self.id1, self.id2 = entry1 & 0xFFFF, entry2 & 0xFFFF
         self.sure1, self.sure2 = entry1 >> 16, entry2 >> 16
         self.row1, self.row2 = self.rows4[:n] + self.sure1, self.rows4[:n] + self.sure2
-        self.own = self.chance0[:n], self.chance1[self.row1], self.chance2[self.row2]
+        self.own = self.chance0[:n], self.chance1.take(self.row1), self.chance2.take(self.row2)
         weight = self.weight[:, :n]
         mixed = self.own[0] * weight[0] + self.own[1] * weight[1] + self.own[2] * weight[2]
         frequency = ((mixed >> np.uint64(4)) & _LOW12) + _ONES
@@ -73,9 +73,9 @@ class _Model:
 
     def learn(self, outcome: np.ndarray, ids: np.ndarray) -> None:
         n = self.n
-        raised = _RAISE[outcome]
+        raised = _RAISE.take(outcome)
         if self.step % _WEIGH_EVERY == 0:
-            shift = _SHIFT[outcome]
+            shift = _SHIFT.take(outcome)
             success, weight = self.success[:, :n], self.weight[:, :n]
             for i in range(3):
                 success[i] += ((self.own[i] >> shift) & _FIELD) - (success[i] >> np.uint64(3))
@@ -87,8 +87,8 @@ class _Model:
         self.chance0[:n] = own0
         self.chance1[self.row1] = own1
         self.chance2[self.row2] = own2
-        self.table1[self.at1] = ids | _NEXT[self.sure1 + (self.id1 == ids) * 4]
-        self.table2[self.at2] = ids | _NEXT[self.sure2 + (self.id2 == ids) * 4]
+        self.table1[self.at1] = ids | _NEXT.take(self.sure1 + (self.id1 == ids) * 4)
+        self.table2[self.at2] = ids | _NEXT.take(self.sure2 + (self.id2 == ids) * 4)
         self.recent[self.base0[:n] + (ids & 255)] = ids
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
@@ -117,11 +117,11 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         n = int(np.searchsorted(-sizes, -step, "left")) if sizes[-1] <= step else lanes
         frequency, sums = model.look(n)
         own = ids[step, :n].astype(np.int64)
-        outcome = 3 - (model.recent[model.base0[:n] + (own & 255)] == own)
+        outcome = 3 - (model.recent.take(model.base0[:n] + (own & 255)) == own)
         np.copyto(outcome, 1, where=model.id1 == own)
         np.copyto(outcome, 0, where=model.id2 == own)
         outcomes[step, :n] = outcome
-        shift = _SHIFT[outcome]
+        shift = _SHIFT.take(outcome)
         picked = (frequency >> shift) & _FIELD
         below = ((sums >> shift) & _FIELD) - picked
         unit = span[:n] // (sums >> np.uint64(48)).astype(np.uint32)
@@ -177,32 +177,32 @@ def decode(coded: list[tuple[bytes, bytes]], sizes: list[int]) -> list[np.ndarra
     code = np.zeros(lanes, np.uint32)
     for i in range(4):
         code = code << np.uint32(8) | stream[:, i]
-    at, lit_at = np.full(lanes, 4, np.int64), np.zeros(lanes, np.int64)
+    # Places of the next bytes in the flattened tables.
+    at, lit_at = np.arange(lanes) * stream.shape[1] + 4, np.arange(lanes) * literal.shape[1]
     ids = np.zeros((steps, lanes), dtype=np.uint16)
     for step in range(steps):
         n = int(np.searchsorted(-sizes, -step, "left")) if sizes[-1] <= step else lanes
-        every = np.arange(n)
         frequency, sums = model.look(n)
         unit = span[:n] // (sums >> np.uint64(48)).astype(np.uint32)
         value = ((code[:n] - low[:n]) // unit).astype(np.uint64)
         outcome = (value >= sums & _FIELD).astype(np.int64)
         for field in _SHIFT[1:3]:
             outcome += value >= ((sums >> field) & _FIELD)
-        shift = _SHIFT[outcome]
+        shift = _SHIFT.take(outcome)
         picked = (frequency >> shift) & _FIELD
         below = ((sums >> shift) & _FIELD) - picked
         low[:n] += unit * below.astype(np.uint32)
         span[:n] = unit * picked.astype(np.uint32)
-        first, second = literal[every, lit_at[:n]], literal[every, lit_at[:n] + 1]
+        first, second = literal.take(lit_at[:n]), literal.take(lit_at[:n] + 1)
         own = np.where(outcome == 0, model.id2, model.id1)
         near = outcome == 2
-        own = np.where(near, model.recent[model.base0[:n] + first], own)
+        own = np.where(near, model.recent.take(model.base0[:n] + first), own)
         own = np.where(outcome == 3, first | second << 8, own)
         lit_at[:n] += np.maximum(outcome - 1, 0)
         ids[step, :n] = own
         lanes_left = _settled(low, span, n)
         while len(lanes_left):
-            code[lanes_left] = code[lanes_left] << np.uint32(8) | stream[lanes_left, at[lanes_left]]
+            code[lanes_left] = code[lanes_left] << np.uint32(8) | stream.take(at[lanes_left])
             at[lanes_left] += 1
             low[lanes_left] <<= np.uint32(8)
             span[lanes_left] <<= np.uint32(8)

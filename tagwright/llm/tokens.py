@@ -153,10 +153,10 @@ class Encoder:
             self.add()
         out = []
         for own in slots:
-            n = self.counts[own]
+            n = self.counts.take(own)
             ends = np.cumsum(n)
-            spots = np.arange(ends[-1]) + np.repeat(self.starts[own] - (ends - n), n)
-            out.append(np.append(self.table[spots], np.uint16(END)))
+            spots = np.arange(ends[-1]) + np.repeat(self.starts.take(own) - (ends - n), n)
+            out.append(np.append(self.table.take(spots), np.uint16(END)))
         return out
 
 
