@@ -5,10 +5,17 @@ network gives the word's class (one of ``CLASSES``, by hash); inside its class a
 word has its share of the corpus counts. The sum of the conditional
 log-probabilities of all words scores the document.
 
-Counts and network come from all documents: counts are summed in a table of fixed
-size, and in each of ``ROUNDS`` rounds every task runs gradient descent over all
-its texts from the common weights, which are then averaged by the words seen. A
-round trains on every ``ROUNDS``-th word, so that all words are seen once.
+Counts and network come from all documents: every distinct word has its count in
+a stored vocabulary table, which grows with the corpus, and in each of ``ROUNDS``
+rounds every task runs gradient descent over all its texts from the common
+weights, which are then averaged by the words seen. A round trains on every
+``ROUNDS``-th word, so that all words are seen once. Scoring looks the at most
+``FREQUENT`` words of largest count up in each task and joins the vocabulary to
+all others; how many are looked up changes the cost and not the result.
+
+Words are told apart by 62-bit keys: among 100 million words, the chance that any
+two share one is about 1 in 900. The network itself has a fixed size: it sees the
+words around by ``INPUTS`` codes.
 
 Defined results: words are lower-cased (A-Z); a null or empty text has 0 words,
 sum 0 and no mean; beyond a text's ends stands a mark of its own; repeated rows
@@ -22,12 +29,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tagwright.llm.counts import bucket_counts
 from tagwright.llm.words import chunks, words_of
+from tagwright.session import write_shared
 
-BUCKETS = 1 << 18
+# Keys of words, not places of a table.
+BUCKETS = 1 << 62
+FREQUENT = 1 << 16
 CLASSES = 64
 INPUTS = 1024
 EMBED = 8
@@ -56,7 +66,7 @@ def start_weights(class_counts: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def contexts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word of a chunk, the inputs around it, and the first word
+    """Key of each word of a chunk, the inputs around it, and the first word
     of each text."""
     words = words_of(texts)
     bucket = (words.hashes(lower=True) % np.uint64(BUCKETS)).astype(np.int64)
@@ -138,44 +148,103 @@ def train_round(texts: DataFrame, weights: np.ndarray, number: int) -> np.ndarra
     return out
 
 
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Network weights, and the log share of each bucket inside its class."""
+class Vocabulary:
+    """The stored table ``words`` (key, n) of all words, its frequent words, and
+    what the shares of a class are of. ``vocabulary[key]`` is a word's log share."""
+
+    def __init__(self, words: DataFrame):
+        self.words = words
+        by_class = words.groupBy((F.col("key") % CLASSES).alias("class")).agg(F.sum("n").alias("n"), F.count("n").alias("words")).toArrow()
+        own = np.asarray(by_class["class"]).astype(np.int64)
+        self.totals, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+        self.totals[own], kinds[own] = np.asarray(by_class["n"]), np.asarray(by_class["words"])
+        # One more word for each class: what the table does not have.
+        self.whole = np.log(self.totals + 0.5 * (kinds + 1))
+        sizes = words.groupBy("n").agg(F.count("key").alias("words")).toArrow()
+        order = np.argsort(-np.asarray(sizes["n"]))
+        fits = np.cumsum(np.asarray(sizes["words"])[order]) <= FREQUENT
+        least = np.asarray(sizes["n"])[order][fits]
+        frequent = words.filter(F.col("n") >= int(least[-1]) if len(least) else F.lit(False)).toArrow()
+        order = np.argsort(np.asarray(frequent["key"]))
+        self.keys, self.counts = np.asarray(frequent["key"])[order], np.asarray(frequent["n"])[order]
+
+    def __getitem__(self, key: int) -> float:
+        at = int(np.searchsorted(self.keys, key))
+        if at < len(self.keys) and self.keys[at] == key:
+            n = int(self.counts[at])
+        else:
+            n = next((r.n for r in self.words.filter(F.col("key") == int(key)).collect()), 0)
+        return float(np.log(n + 0.5) - self.whole[int(key) % CLASSES])
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """The vocabulary table: key, n of each distinct word."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, "text"):
+            keys = words_of(chunk.column("text")).hashes(lower=True) % np.uint64(BUCKETS)
+            keys, n = np.unique(keys.astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+
+    counted = texts.select("text").mapInArrow(run, "key long, n long")
+    return write_shared(counted.groupBy("key").agg(F.sum("n").alias("n")))
+
+
+def fit(docs: DataFrame) -> tuple[np.ndarray, Vocabulary]:
+    """Network weights, and the vocabulary with the log share of each word inside its class."""
     texts = docs.select("text")
-    counts = bucket_counts(texts, BUCKETS, lambda own: words_of(own).hashes(lower=True)).astype(np.float64)
-    classes = np.arange(BUCKETS) % CLASSES
-    totals = np.bincount(classes, counts, CLASSES)
-    share = np.log(counts + 0.5) - np.log(totals + 0.5 * BUCKETS / CLASSES)[classes]
-    weights = flatten(start_weights(totals)).astype(np.float64)
+    vocabulary = Vocabulary(count_words(texts))
+    weights = flatten(start_weights(vocabulary.totals)).astype(np.float64)
     for number in range(ROUNDS):
         weights = train_round(texts, weights, number)
-    return weights, share
+    return weights, vocabulary
 
 
-def score_words(w: dict[str, np.ndarray], share: np.ndarray, bucket: np.ndarray, around: np.ndarray) -> np.ndarray:
-    out = np.empty(len(bucket))
-    for at in range(0, len(bucket), BATCH):
-        own = bucket[at : at + BATCH]
+def class_chances(w: dict[str, np.ndarray], keys: np.ndarray, around: np.ndarray) -> np.ndarray:
+    out = np.empty(len(keys))
+    for at in range(0, len(keys), BATCH):
+        own = keys[at : at + BATCH]
         z = log_chances(w, around[at : at + BATCH])[2]
-        out[at : at + BATCH] = z[np.arange(len(own)), own % CLASSES] + share[own]
+        out[at : at + BATCH] = z[np.arange(len(own)), own % CLASSES]
     return out
 
 
-def score(docs: DataFrame, weights: np.ndarray, share: np.ndarray) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast((weights, share))
+def score(docs: DataFrame, weights: np.ndarray, vocabulary: Vocabulary) -> DataFrame:
+    model = docs.sparkSession.sparkContext.broadcast((weights, vocabulary.keys, np.log(vocabulary.counts + 0.5), vocabulary.whole))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, shares = model.value
-        w = unflatten(values)
+        values, frequent, logs, whole = model.value
+        w, row = unflatten(values), TaskContext.get().partitionId() << 40
         for chunk in chunks(batches, "text"):
-            bucket, around, first = contexts(chunk.column("text"))
-            sums = np.append(0, np.cumsum(score_words(w, shares, bucket, around)))
+            keys, around, first = contexts(chunk.column("text"))
+            chance = class_chances(w, keys, around) - whole[keys % CLASSES]
+            rare = np.ones(len(keys), dtype=bool)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+                rare = frequent[at] != keys
+                chance += np.where(rare, 0, logs[at])
+            sums = np.append(0, np.cumsum(chance))
+            cuts = np.append(0, np.cumsum(rare))[first].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(np.diff(first)), pa.array(sums[first[1:]] - sums[first[:-1]])],
-                ["doc_id", "n_words", "log_likelihood"],
+                [
+                    pa.array(row + np.arange(chunk.num_rows)),
+                    chunk.column("doc_id"),
+                    pa.array(np.diff(first)),
+                    pa.array(sums[first[1:]] - sums[first[:-1]]),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[rare])),
+                ],
+                ["row", "doc_id", "n_words", "known", "rare"],
             )
+            row += chunk.num_rows
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_words long, log_likelihood double")
+    schema = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n_words long, known double, rare array<long>"
+    # Written once: the numbers of rows must be the same on both sides of the join.
+    known = write_shared(rows.mapInArrow(run, schema))
+    rare = known.select("row", F.explode("rare").alias("key")).join(vocabulary.words, "key", "left")
+    rare = rare.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(0)) + 0.5)).alias("joined"))
+    total = F.col("known") + F.coalesce("joined", F.lit(0.0))
+    return known.drop("rare").join(rare, "row", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

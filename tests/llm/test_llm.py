@@ -233,6 +233,40 @@ def test_pseudo_likelihood_word_by_word(docs):
         assert r.n_words == len(bucket) and abs(r.log_likelihood - total) < 1e-2
 
 
+@pytest.mark.parametrize("frequent", [0, 40, 1 << 16])
+def test_every_word_has_its_own_count(spark, monkeypatch, frequent):
+    from collections import Counter
+
+    from tagwright.llm.words import words_of
+    import pyarrow as pa
+
+    monkeypatch.setattr(pseudo, "FREQUENT", frequent)
+    rng = random.Random(9)  # more words than any fixed table of 2^18 holds apart
+    rows = [(i, " ".join(f"W{rng.randrange(1 << 18):x}" for _ in range(500))) for i in range(60)] + [(None, "w1 w1 W1"), (7, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    weights, vocabulary = pseudo.fit(table)
+    want = Counter(w for _, t in rows for w in (t or "").lower().split())
+    names = list(want)
+    keys = (words_of(pa.array([" ".join(names)])).hashes(lower=True) % np.uint64(pseudo.BUCKETS)).astype(np.int64)
+    got = {r.key: r.n for r in vocabulary.words.collect()}
+    assert got == {k: want[w] for k, w in zip(keys.tolist(), names)}
+    totals, kinds = Counter(), Counter()
+    for k, n in got.items():
+        totals[k % pseudo.CLASSES] += n
+        kinds[k % pseudo.CLASSES] += 1
+    w = pseudo.unflatten(weights)
+    out = sorted(((-1 if r[0] is None else r[0], r[1]), r[2]) for r in pseudo.score(table, weights, vocabulary).collect())
+    wanted = []
+    for i, t in rows:
+        own, around, _ = pseudo.contexts(pa.array([t], pa.string()))
+        z = pseudo.class_chances(w, own, around)
+        share = [np.log(got[k] + 0.5) - np.log(totals[k % pseudo.CLASSES] + 0.5 * (kinds[k % pseudo.CLASSES] + 1)) for k in own.tolist()]
+        wanted.append(((-1 if i is None else i, len(own)), z.sum() + sum(share)))
+    assert [k for k, _ in out] == [k for k, _ in sorted(wanted)]
+    assert all(abs(a - b) < 1e-2 for (_, a), (_, b) in zip(out, sorted(wanted)))
+
+
+
 PAGE = """<html><head><title>T &amp; x</title><script>var t="</p>";</script></head><body><nav><a href=/>Home</a></nav>
 <div class="ad">Buy this now, it is cheap.</div><article><h1>A head</h1><p>First &lt;b&gt; <b>line<br>more<p>Second
  &am</p><!-- <p>no</p> --><section id="comments"><p>I like it very much indeed.</p></section></article>
