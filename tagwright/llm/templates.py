@@ -1,10 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words lose outer punctuation and case; numbers, names (a capital inside a
-sentence) and units (after a number) become typed placeholders. Windows of
-canonical words are hash-joined with those of the benchmark items, and matches of
-one document and item at one distance form an alignment. It counts as a leak if
-it covers enough of the item's windows and its slots agree: each value of the
+sentence) and units (after a number) become typed placeholders, neighbours of one
+type a single one. Windows of canonical words are hash-joined with those of the
+benchmark items, and matches of one document and item at one distance form an
+alignment; alignments whose distances differ by at most ``NEAR`` from one to the
+next, as inserted and removed words leave them, also count together. It is a leak
+if it covers enough of the item's windows and its slots agree: each value of the
 item stands for one value of the document throughout, and the other way round,
 so a question with its numbers and names exchanged is caught and a text that
 merely has the same frame is not.
@@ -26,13 +28,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tagwright.llm.words import _BASE, _BASE_INVERSE, _LOWER_VALUE, Words, chunks, mix, powers_of, windows, words_of
 
 WINDOW = 8
 MIN_PLAIN = 4
 MIN_COVER = 0.5
+NEAR = 8
 BITS = 1 << 22
 
 UNITS = (
@@ -59,8 +62,9 @@ def core_hashes(words: Words, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words with a letter or digit: hash of the canonical word, its type,
-    hash of its own value, and the first such word of each text."""
+    """Of the words with a letter or digit, runs of one placeholder taken as one:
+    hash of the canonical word, its type, hash of its own value, and the first
+    such word of each text."""
     n = len(words.data)
     if not len(words.starts):
         none = np.empty(0, np.uint64)
@@ -85,9 +89,23 @@ def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     after_number = np.append(False, number[:-1])
     kind[after_number & np.isin(value, unit_hashes())] = UNIT
     first = np.append(0, np.cumsum(real))[words.first]
+    kind, value, first = merged(kind, value, first)
     return np.where(kind == PLAIN, value, _PLACEHOLDER[kind]), kind, value, first
 
 
+def merged(kind: np.ndarray, value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of one placeholder as one, whose value is that of all its words."""
+    if not len(kind):
+        return kind, value, first
+    starts = np.ones(len(kind), dtype=bool)
+    starts[1:] = (kind[1:] == PLAIN) | (kind[1:] != kind[:-1])
+    starts[first[first < len(kind)]] = True
+    spots = np.flatnonzero(starts)
+    place = np.arange(len(kind)) - np.repeat(spots, np.diff(np.append(spots, len(kind))))
+    value = np.add.reduceat(np.where(place == 0, value, mix(value + place.astype(np.uint64))), spots)
+    return kind[spots], value, np.append(0, np.cumsum(starts))[first]
+
+
 _units: list[np.ndarray] = []
 
 
@@ -175,15 +193,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     )
     found = texts.mapInArrow(document_windows(sizes, bits), "id long, tkey long, at long, gram long, slots array<long>")
     size_of = own.groupBy("item").agg(F.count("gram").alias("windows"))
+    pairs = F.arrays_zip("item_slots", "slots").alias("pairs")
     aligned = (
         found.join(own, "gram")
         .groupBy("id", "tkey", "item", (F.col("at") - F.col("item_at")).alias("shift"))
-        .agg(
-            F.size(F.collect_set("item_at")).alias("matched"),
-            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-        )
+        .agg(F.collect_set(F.struct("item_at", pairs)).alias("matches"))
+    )
+    # Neighbouring distances have one number.
+    by_shift = Window.partitionBy("id", "tkey", "item").orderBy("shift")
+    apart = F.coalesce((F.col("shift") - F.lag("shift").over(by_shift) > NEAR).cast("long"), F.lit(0))
+    near = aligned.withColumn("apart", apart).withColumn("near", F.sum("apart").over(by_shift))
+    near = near.groupBy("id", "tkey", "item", "near").agg(F.count("shift").alias("shifts"), F.flatten(F.collect_list("matches")).alias("matches"))
+    aligned = aligned.drop("shift").unionByName(near.filter("shifts > 1").drop("near", "shifts"))
+    aligned = (
+        aligned.withColumn("pairs", F.array_distinct(F.flatten("matches.pairs")))
         .join(size_of, "item")
-        .withColumn("cover", F.col("matched") / F.col("windows"))
+        .withColumn("cover", F.size(F.array_distinct("matches.item_at")) / F.col("windows"))
     )
     agree = (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (
         F.size("pairs") == F.size(F.array_distinct("pairs.slots"))

@@ -175,6 +175,30 @@ def test_leaks_by_template(spark):
     assert got == {(1, True, (1,)), (2, True, (1,)), (3, False, ()), (4, False, ()), (5, False, ()), (1, False, ())}
 
 
+LONG = (
+    "Tom has 12 boxes and every box holds seven red and nine green marbles, so after he gives half of them to Anna "
+    "and loses 3 on his way home, how many marbles of either colour does Tom still have in all of his boxes tonight?"
+)
+
+
+def leaks_of(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return [tuple(r.item_ids) for r in templates.find_leaks(docs, own).orderBy("doc_id").collect()]
+
+
+def test_leaks_with_inserted_words_and_longer_names(spark):
+    words = LONG.split()
+    texts = [
+        " ".join([*words[:20], "really", *words[20:]]),
+        " ".join([*words[:14], "quite", *words[14:28], "also", *words[28:]]),
+        " ".join([*words[:21], *words[22:]]),
+        LONG.replace("Tom", "Mary Ann").replace("Anna", "Bert Beek"),
+        " ".join(words[:14]) + " far away " * 60 + " ".join(words[30:]),  # parts that are far apart
+    ]
+    assert leaks_of(spark, texts, [LONG]) == [(0,), (0,), (0,), (0,), ()]
+
+
 def test_quality_learns_and_holds_out(spark):
     rng = random.Random(5)
     rows, labels = [], []
