@@ -6,10 +6,12 @@ type a single one. Windows of canonical words are hash-joined with those of the
 benchmark items, and matches of one document and item at one distance form an
 alignment; alignments whose distances differ by at most ``NEAR`` from one to the
 next, as inserted and removed words leave them, also count together. It is a leak
-if it covers enough of the item's windows and its slots agree: each value of the
-item stands for one value of the document throughout, and the other way round,
-so a question with its numbers and names exchanged is caught and a text that
-merely has the same frame is not.
+if enough of the item's windows are covered by matches whose slots agree: a value
+of the item stands for the one value of the document that it has at more than
+half of its places, and windows with any other value do not count. A value without
+such a majority costs all its windows. So a question with its numbers and names
+exchanged is caught, also if two become equal, one conflict does not free the rest
+of the passage, and a text that merely has the same frame is no leak.
 
 Before the join a bit per window hash (``BITS`` of them, whatever the size of
 the benchmark) keeps windows back that no item has; the join itself is exact in
@@ -28,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tagwright.llm.words import _BASE, _BASE_INVERSE, _LOWER_VALUE, Words, chunks, mix, powers_of, windows, words_of
 
@@ -117,8 +119,8 @@ def unit_hashes() -> np.ndarray:
 
 
 def template_windows(texts: pa.Array, sizes: list[int] | None, seen: np.ndarray | None):
-    """Per window: text number, position, size, hash, and slots (type and value of
-    each placeholder). ``sizes``: those to make, or the size each text gets (at
+    """Per window: text number, position, size, hash, slots (type and value of
+    each placeholder), and the places of the slots in the text. ``sizes``: those to make, or the size each text gets (at
     most ``WINDOW``). ``seen``: bits by hash; windows without theirs are left out."""
     token, kind, value, first = canonical(words_of(texts))
     lengths = np.diff(first)
@@ -136,12 +138,11 @@ def template_windows(texts: pa.Array, sizes: list[int] | None, seen: np.ndarray
             inside &= seen[(gram % np.uint64(BITS)).astype(np.int64)]
         at = np.flatnonzero(inside)
         slot = kind[at[:, None] + np.arange(size)] != PLAIN
-        counts = slot.sum(axis=1)
+        cuts = pa.array(np.append(0, np.cumsum(slot.sum(axis=1))).astype(np.int32))
         spots = (at[:, None] + np.arange(size))[slot]
-        slots = pa.ListArray.from_arrays(
-            pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(mix(value[spots] + kind[spots].astype(np.uint64)).view(np.int64))
-        )
-        yield text_of[at], at - first[text_of[at]], size, gram[at], slots
+        slots = pa.ListArray.from_arrays(cuts, pa.array(mix(value[spots] + kind[spots].astype(np.uint64)).view(np.int64)))
+        places = pa.ListArray.from_arrays(cuts, pa.array(spots - first[text_of[spots]]))
+        yield text_of[at], at - first[text_of[at]], size, gram[at], slots, places
 
 
 def document_windows(sizes, bits):
@@ -149,7 +150,7 @@ def document_windows(sizes, bits):
         seen = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
         for chunk in chunks(batches, "text"):
             ids, tkeys = np.asarray(chunk.column("id")), np.asarray(chunk.column("tkey"))
-            for text, at, size, gram, slots in template_windows(chunk.column("text"), sizes, seen):
+            for text, at, size, gram, slots, _ in template_windows(chunk.column("text"), sizes, seen):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[text]), pa.array(tkeys[text]), pa.array(at), pa.array(gram.view(np.int64)), slots],
                     ["id", "tkey", "at", "gram", "slots"],
@@ -160,13 +161,37 @@ def document_windows(sizes, bits):
 
 def item_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in chunks(batches, "text"):
-        for text, at, size, gram, slots in template_windows(chunk.column("text"), None, None):
+        for text, at, size, gram, slots, places in template_windows(chunk.column("text"), None, None):
+            sizes = pa.array(np.full(len(at), size))
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("item").take(pa.array(text)), pa.array(at), pa.array(np.full(len(at), size)), pa.array(gram.view(np.int64)), slots],
-                ["item", "item_at", "size", "gram", "item_slots"],
+                [chunk.column("item").take(pa.array(text)), pa.array(at), sizes, pa.array(gram.view(np.int64)), slots, places],
+                ["item", "item_at", "size", "gram", "item_slots", "places"],
             )
 
 
+def agreeing(matches: Column) -> Column:
+    """The matches whose pairs all follow the majority of places of their item value."""
+
+    def let(value: Column, then) -> Column:
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def values(pairs: Column) -> Column:
+        return F.transform(pairs, lambda p: F.struct(p["item_slots"].alias("item"), p["slots"].alias("own")))
+
+    def majority(held: Column) -> Column:
+        def most(v: Column) -> Column:
+            same = F.filter(held, lambda p: p["item"] == v["item"])
+            return 2 * F.size(F.filter(held, lambda p: p == v)) > F.size(same)
+
+        return F.filter(F.array_distinct(held), most)
+
+    # One entry for each place: pairs are distinct by place and values.
+    held = values(F.array_distinct(F.flatten(F.transform(matches, lambda m: m["pairs"]))))
+    return let(
+        let(held, majority), lambda agreed: F.filter(matches, lambda m: F.size(F.array_except(values(m["pairs"]), agreed)) == 0)
+    )
+
+
 _NULL_ID = -(1 << 63)
 
 
@@ -179,7 +204,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     item_id = F.coalesce(F.col("item_id").cast("long"), F.lit(_NULL_ID))
     items = benchmark.select(item_id.alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     items = items.groupBy("text").agg(F.min("item").alias("item"))
-    own = items.mapInArrow(item_windows, "item long, item_at long, size long, gram long, item_slots array<long>")
+    own = items.mapInArrow(item_windows, "item long, item_at long, size long, gram long, item_slots array<long>, places array<long>")
     slot = F.pmod(F.col("gram"), F.lit(BITS))
     # pmod of the signed number is its low bits, as the modulus is a power of two.
     marks = own.groupBy(slot.alias("slot"), "size").agg(F.lit(1)).toArrow()
@@ -193,7 +218,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     )
     found = texts.mapInArrow(document_windows(sizes, bits), "id long, tkey long, at long, gram long, slots array<long>")
     size_of = own.groupBy("item").agg(F.count("gram").alias("windows"))
-    pairs = F.arrays_zip("item_slots", "slots").alias("pairs")
+    pairs = F.arrays_zip("places", "item_slots", "slots").alias("pairs")
     aligned = (
         found.join(own, "gram")
         .groupBy("id", "tkey", "item", (F.col("at") - F.col("item_at")).alias("shift"))
@@ -206,15 +231,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     near = near.groupBy("id", "tkey", "item", "near").agg(F.count("shift").alias("shifts"), F.flatten(F.collect_list("matches")).alias("matches"))
     aligned = aligned.drop("shift").unionByName(near.filter("shifts > 1").drop("near", "shifts"))
     aligned = (
-        aligned.withColumn("pairs", F.array_distinct(F.flatten("matches.pairs")))
-        .join(size_of, "item")
-        .withColumn("cover", F.size(F.array_distinct("matches.item_at")) / F.col("windows"))
-    )
-    agree = (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (
-        F.size("pairs") == F.size(F.array_distinct("pairs.slots"))
+        aligned.join(size_of, "item")
+        .filter(F.size(F.array_distinct("matches.item_at")) >= min_cover * F.col("windows"))
+        .withColumn("agreed", agreeing(F.col("matches")))
+        .withColumn("cover", F.size(F.array_distinct("agreed.item_at")) / F.col("windows"))
     )
     leaks = (
-        aligned.filter(agree & (F.col("cover") >= min_cover))
+        aligned.filter(F.col("cover") >= min_cover)
         .groupBy("id", "tkey")
         .agg(
             F.sort_array(F.collect_set("item")).alias("items"),

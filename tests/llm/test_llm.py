@@ -199,6 +199,16 @@ def test_leaks_with_inserted_words_and_longer_names(spark):
     assert leaks_of(spark, texts, [LONG]) == [(0,), (0,), (0,), (0,), ()]
 
 
+def test_leaks_with_one_conflict(spark):
+    item = "At home Tom and his sister count what they have. " + LONG + " And then Tom sleeps for 9 hours."
+    texts = [
+        item.replace("does Tom", "does Carl"),  # one of four places
+        item.replace("12", "4").replace("3", "4"),  # two numbers became equal
+        item.replace("Tom", "Carl").replace("3", "5"),
+    ]
+    assert leaks_of(spark, texts, [item]) == [(0,), (0,), (0,)]
+
+
 def test_quality_learns_and_holds_out(spark):
     rng = random.Random(5)
     rows, labels = [], []
