@@ -1,7 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose outer punctuation and case; numbers, names (a capital inside a
-sentence) and units (after a number) become typed placeholders, neighbours of one
+Windows are compared in two ways, each with its own cover, of which the larger
+counts: by template, and exactly, word by word without outer punctuation and case.
+The exact way has no least number of plain words, and an item with fewer than
+``WINDOW`` words is a window as a whole, so copies in capitals, short items and
+items that are mostly numbers and names are found by it.
+
+In templates numbers, names (a capital inside a sentence or line, but not among
+three words in capitals or more) and units (after a number) become typed placeholders, neighbours of one
 type a single one. Windows of canonical words are hash-joined with those of the
 benchmark items, and matches of one document and item at one distance form an
 alignment; alignments whose distances differ by at most ``NEAR`` from one to the
@@ -17,8 +23,9 @@ Before the join a bit per window hash (``BITS`` of them, whatever the size of
 the benchmark) keeps windows back that no item has; the join itself is exact in
 the 64-bit hashes and is left to the planner, whichever side is small.
 
-Defined results: null and empty texts are clean; items without a window of
-``MIN_PLAIN`` plain words cannot be found; items of equal text are one, under
+Defined results: null and empty texts are clean; items without a word cannot be
+found; items without a window of ``MIN_PLAIN`` plain words are only found
+word by word; items of equal text are one, under
 their smallest id; a null item id is smaller than all and reported as null;
 repeated document rows are judged alike; an empty benchmark leaves all clean; an
 empty table gives an empty result; columns of other names play no part.
@@ -63,6 +70,35 @@ def core_hashes(words: Words, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return mix(sums * powers_of(_BASE_INVERSE, len(words.data))[low])
 
 
+def in_capitals(words: Words, digits: np.ndarray) -> np.ndarray:
+    """Whether a word stands among three neighbours or more of one text that have
+    capitals or digits and no small letters."""
+    upper = np.add.reduceat(_UPPER[words.data], words.starts, dtype=np.int32)
+    small = np.add.reduceat(_LETTER[words.data] & ~_UPPER[words.data], words.starts, dtype=np.int32)
+    large = (upper + digits > 0) & (small == 0)
+    starts = np.ones(len(large), dtype=bool)
+    starts[1:] = large[1:] != large[:-1]
+    heads = words.first[:-1]
+    starts[heads[heads < len(large)]] = True
+    spots = np.flatnonzero(starts)
+    sizes = np.diff(np.append(spots, len(large)))
+    return large & np.repeat(sizes >= 3, sizes)
+
+
+def plain_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word with a letter or digit, without outer punctuation and
+    case, and the first such word of each text."""
+    n = len(words.data)
+    if not len(words.starts):
+        return np.empty(0, np.uint64), np.zeros_like(words.first)
+    solid = _DIGIT[words.data] | _LETTER[words.data]
+    place = np.arange(n)
+    low = np.minimum.reduceat(np.where(solid, place, n), words.starts)
+    high = np.maximum.reduceat(np.where(solid, place, -1), words.starts) + 1
+    real = low < words.ends
+    return core_hashes(words, low[real], high[real]), np.append(0, np.cumsum(real))[words.first]
+
+
 def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the words with a letter or digit, runs of one placeholder taken as one:
     hash of the canonical word, its type, hash of its own value, and the first
@@ -80,8 +116,11 @@ def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     letters = np.add.reduceat(letter, words.starts, dtype=np.int32)
     begins = np.zeros(len(words.starts), dtype=bool)
     begins[1:] = _ENDS_SENTENCE[words.data[words.ends[:-1] - 1]]
+    lines = np.append(0, np.cumsum((words.data == 10) | (words.data == 13)))
+    begins[1:] |= lines[words.starts[1:]] > lines[words.ends[:-1]]
     heads = words.first[:-1]
     begins[heads[heads < len(begins)]] = True
+    begins |= in_capitals(words, digits)
     real = low < words.ends
     low, high = low[real], high[real]
     value = core_hashes(words, low, high)
@@ -120,14 +159,18 @@ def unit_hashes() -> np.ndarray:
 
 def template_windows(texts: pa.Array, sizes: list[int] | None, seen: np.ndarray | None):
     """Per window: text number, position, size, hash, slots (type and value of
-    each placeholder), and the places of the slots in the text. ``sizes``: those to make, or the size each text gets (at
+    each placeholder), and the places of the slots in the text. Exact windows have
+    the negative of their size and no slots. ``sizes``: those to make, or the size each text gets (at
     most ``WINDOW``). ``seen``: bits by hash; windows without theirs are left out."""
-    token, kind, value, first = canonical(words_of(texts))
+    words = words_of(texts)
+    yield from exact_windows(words, sizes and [-s for s in sizes if s < 0], seen)
+    token, kind, value, first = canonical(words)
+    sizes = sizes and [s for s in sizes if s > 0]
     lengths = np.diff(first)
     text_of = np.repeat(np.arange(len(lengths)), lengths)
     own_size = np.minimum(lengths, WINDOW)
     plain = np.append(0, np.cumsum(kind == PLAIN))
-    for size in sizes or sorted(set(own_size[own_size >= MIN_PLAIN].tolist())):
+    for size in sorted(set(own_size[own_size >= MIN_PLAIN].tolist())) if sizes is None else sizes:
         gram, inside = windows(token, first, size)
         gram = mix(gram + np.uint64(size))
         start = np.arange(len(gram))
@@ -145,6 +188,23 @@ def template_windows(texts: pa.Array, sizes: list[int] | None, seen: np.ndarray
         yield text_of[at], at - first[text_of[at]], size, gram[at], slots, places
 
 
+def exact_windows(words: Words, sizes: list[int] | None, seen: np.ndarray | None):
+    value, first = plain_words(words)
+    lengths = np.diff(first)
+    text_of = np.repeat(np.arange(len(lengths)), lengths)
+    own_size = np.minimum(lengths, WINDOW)
+    for size in sorted(set(own_size[own_size > 0].tolist())) if sizes is None else sizes:
+        gram, inside = windows(value, first, size)
+        gram = mix(~(gram + np.uint64(size)))
+        if sizes is None:
+            inside &= own_size[text_of[: len(gram)]] == size
+        if seen is not None:
+            inside &= seen[(gram % np.uint64(BITS)).astype(np.int64)]
+        at = np.flatnonzero(inside)
+        none = pa.ListArray.from_arrays(pa.array(np.zeros(len(at) + 1, np.int32)), pa.array([], pa.int64()))
+        yield text_of[at], at - first[text_of[at]], -size, gram[at], none, none
+
+
 def document_windows(sizes, bits):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
@@ -210,28 +270,29 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     marks = own.groupBy(slot.alias("slot"), "size").agg(F.lit(1)).toArrow()
     seen = np.zeros(BITS, dtype=np.uint8)
     seen[np.asarray(marks["slot"]).astype(np.int64)] = 1
-    sizes = sorted(set(np.asarray(marks["size"]).tolist())) or [WINDOW]
+    sizes = sorted(set(np.asarray(marks["size"]).tolist())) or [WINDOW, -WINDOW]
     bits = spark.sparkContext.broadcast(np.packbits(seen).tobytes())
 
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("tkey"), "text"
     )
     found = texts.mapInArrow(document_windows(sizes, bits), "id long, tkey long, at long, gram long, slots array<long>")
-    size_of = own.groupBy("item").agg(F.count("gram").alias("windows"))
+    own = own.withColumn("exact", F.col("size") < 0)
+    size_of = own.groupBy("item", "exact").agg(F.count("gram").alias("windows"))
     pairs = F.arrays_zip("places", "item_slots", "slots").alias("pairs")
     aligned = (
         found.join(own, "gram")
-        .groupBy("id", "tkey", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+        .groupBy("id", "tkey", "item", "exact", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.collect_set(F.struct("item_at", pairs)).alias("matches"))
     )
     # Neighbouring distances have one number.
-    by_shift = Window.partitionBy("id", "tkey", "item").orderBy("shift")
+    by_shift = Window.partitionBy("id", "tkey", "item", "exact").orderBy("shift")
     apart = F.coalesce((F.col("shift") - F.lag("shift").over(by_shift) > NEAR).cast("long"), F.lit(0))
     near = aligned.withColumn("apart", apart).withColumn("near", F.sum("apart").over(by_shift))
-    near = near.groupBy("id", "tkey", "item", "near").agg(F.count("shift").alias("shifts"), F.flatten(F.collect_list("matches")).alias("matches"))
+    near = near.groupBy("id", "tkey", "item", "exact", "near").agg(F.count("shift").alias("shifts"), F.flatten(F.collect_list("matches")).alias("matches"))
     aligned = aligned.drop("shift").unionByName(near.filter("shifts > 1").drop("near", "shifts"))
     aligned = (
-        aligned.join(size_of, "item")
+        aligned.join(size_of, ["item", "exact"])
         .filter(F.size(F.array_distinct("matches.item_at")) >= min_cover * F.col("windows"))
         .withColumn("agreed", agreeing(F.col("matches")))
         .withColumn("cover", F.size(F.array_distinct("agreed.item_at")) / F.col("windows"))

@@ -209,6 +209,28 @@ def test_leaks_with_one_conflict(spark):
     assert leaks_of(spark, texts, [item]) == [(0,), (0,), (0,)]
 
 
+def test_leaks_word_by_word(spark):
+    items = [
+        LONG,
+        "Paris Rome!",
+        "What is 12 + 5 - 3 * 8 / 4 - 77 + 15 + 9 - 2 ?",
+        "Paul, Mary, Anna, Tom, Bert, Carl, Dora, Emil, Fritz, Gustav",
+        "Which river flows quickly through this old town?",
+    ]
+    texts = [
+        "some words before " + LONG.upper() + " and after",
+        "from paris, rome is far",
+        "so " + items[2],
+        "Names: " + items[3],
+        "A head line\n" + items[4],
+        "a head line " + items[4],
+        LONG.upper().replace("ANNA", "BERT").replace("12", "40"),
+        "Rome Paris, and Paul, Mary. What is 12 + 5?",
+        "Exam\nWhich river flows quickly through this old house?",
+    ]
+    assert leaks_of(spark, texts, items) == [(0,), (1,), (2,), (3,), (4,), (4,), (0,), (), ()]
+
+
 def test_quality_learns_and_holds_out(spark):
     rng = random.Random(5)
     rows, labels = [], []
