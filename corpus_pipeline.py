@@ -23,16 +23,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    groups = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = firsts.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"))
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(F.col("__id")))
-    single = kept.filter("__rows = 1").select(*[kept[c] for c in docs.columns])
-    # Rows of one id are one document: the text with the smallest hash stays.
-    rows = kept.filter("__rows > 1").select(F.struct(*[kept[c] for c in docs.columns]).alias("row"))
-    rows = rows.groupBy("row.doc_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row")).select("row.*")
-    return single.unionByName(rows)
+    """One row of each group of near copies: that of the smallest id (null before
+    all), then of the smallest text hash. Rows are linked by their texts alone,
+    whatever their ids; of rows without words, one of each id and text stays."""
+    rows = write_shared(docs.withColumn("__node", F.monotonically_increasing_id()))
+    groups = jaccard.jaccard_components(rows.select(F.col("__node").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    groups = groups.select(F.col("doc_id").alias("__node"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("__group"))
+    named = rows.select("__node", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key")).join(groups, "__node")
+    first = F.min(F.struct("__id", "__key", "__node"))["__node"].alias("__node")
+    linked = named.filter("__group is not null").groupBy("__group").agg(first).select("__node")
+    wordless = named.filter("__group is null").groupBy("__id", "__key").agg(F.min("__node").alias("__node")).select("__node")
+    return rows.join(linked.union(wordless), "__node", "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
