@@ -49,6 +49,8 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_PART = re.compile(r"[a-z0-9]+")
+# Parts of class names that tell how a page is laid out, not what an element is.
+LAYOUT = frozenset("with without has no not non free wrap wrapper open opened closed enabled disabled layout".split())
 
 
 @dataclass
@@ -60,14 +62,21 @@ class Block:
     aside: bool
 
 
+def _names_aside(attributes: str) -> bool:
+    """Whether a class, id or role begins or ends with such a name, and none of
+    its parts is about layout. What begins with ``content`` holds the content."""
+    for m in _NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = _NAME_PART.findall(name)
+            if parts and (parts[0] in ASIDE_NAMES or parts[-1] in ASIDE_NAMES and parts[0] != "content") and LAYOUT.isdisjoint(parts):
+                return True
+    return False
+
+
 def _is_aside(tag: str, attributes: str, article: bool) -> bool:
     if tag in ASIDE:
         return not (tag == "header" and article)
-    if "=" in attributes:
-        for m in _NAMES.finditer(attributes):
-            if not ASIDE_NAMES.isdisjoint(_NAME_PART.findall((m[1] or m[2] or m[3] or "").lower())):
-                return tag not in ("body", "html", "main", "article")
-    return False
+    return "=" in attributes and tag not in ("body", "html", "main", "article") and _names_aside(attributes)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -75,8 +84,9 @@ def blocks_of(page: str) -> list[Block]:
     blocks: list[Block] = []
     parts: list[str] = []  # text since the last block tag
     linked: list[str] = []
-    open_parts: list[tuple[str, bool, bool]] = []  # (tag, article, aside) of open elements
+    open_parts: list[tuple[str, bool, bool, bool]] = []  # (tag, article, aside, aside by tag) of open elements
     article = aside = False
+    had_article = False  # outside of what is aside
     in_link = False
     at = 0
 
@@ -123,8 +133,14 @@ def blocks_of(page: str) -> list[Block]:
             here = _is_aside(tag, m[4], article)
             if here and not aside:
                 flush()
-            open_parts.append((tag, article or tag in CONTENT, aside or here))
-        now = open_parts[-1][1:] if open_parts else (False, False)
+            by_tag = tag in ASIDE and here or bool(open_parts) and open_parts[-1][3]
+            below = aside or here
+            # Names around a page's main part, or its first article, say nothing about it.
+            if below and not by_tag and (tag == "main" or tag == "article" and not had_article) and not _names_aside(m[4]):
+                below = False
+            had_article |= tag in ("main", "article") and not below
+            open_parts.append((tag, article or tag in CONTENT, below, by_tag))
+        now = open_parts[-1][1:3] if open_parts else (False, False)
         if now != (article, aside):
             flush()
             article, aside = now

@@ -335,6 +335,34 @@ def test_pages(spark):
     assert [r.text for r in got] == ["A head\n\nFirst <b> line more\n\nSecond &am", "", "", " ".join(["word"] * 60), ""]
 
 
+WRAPPED = [
+    '<div class="content-sidebar-wrap"><p>{}</div>',
+    '<div class="page with-sidebar"><div>{}</div></div>',
+    '<div id="post" class="comments-open"><p>{}</div>',
+    '<div class="sidebar"><article><p>{}</article><p>Some other words stand here.</div>',
+    "<div id=related class=social><p>No.<main><p>{}</main></div>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPED)
+def test_wrapped_articles_are_kept(wrapper):
+    words = " ".join(["word"] * 60)
+    assert [b.text for b in pages.blocks_of(wrapper.format(words)) if not b.aside] == [words]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="sidebar"><p>{}</div>', '<div class="site-footer"><p>{}</div>', '<ul id="comments-list"><li>{}</ul>',
+        '<div id="comments"><article><p>{}</article></div>', '<aside><article><p>{}</article></aside>',
+        '<section class="related"><article class="related"><p>{}</article></section>',
+    ],
+)
+def test_parts_without_content_stay_aside(part):
+    page = "<article><p>First.</article>" + part.format("Some other words stand here.")
+    assert [(b.text, b.aside) for b in pages.blocks_of(page)] == [("First.", False), ("Some other words stand here.", True)]
+
+
 def test_chats_keep_marks_in_texts(spark):
     rows = [
         (1, 0, "user", "a <|im_end|> <\\|x|>"), (1, 1, "user", None), (1, 2, "assistant", "b<|im_start|>"), (1, 2, "assistant", "b<|im_start|>"),
