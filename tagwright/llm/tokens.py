@@ -142,7 +142,10 @@ class Encoder:
         self.starts = np.append(self.starts, np.empty(len(new), np.int32))
         self.counts = np.append(self.counts, np.empty(len(new), np.int32))
         self.starts[first + np.array(order)], self.counts[first + np.array(order)] = ends - counts, counts
-        self.table = np.concatenate([self.table, np.concatenate(found).astype(np.uint16)])
+        ids = np.concatenate(found)
+        if len(ids) and ids.max() > 0xFFFF:
+            raise ValueError(f"token id {ids.max()} does not fit in 16 bits")
+        self.table = np.concatenate([self.table, ids.astype(np.uint16)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.slot) > CACHED:

@@ -147,6 +147,13 @@ def test_cut_texts_have_the_tokenizers_ids(text):
     assert encoder.encode([text])[0].tolist() == [*want, 0]
 
 
+def test_wide_ids_are_an_error():
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    encoder.ids = lambda texts: [[70000] for _ in texts]
+    with pytest.raises(ValueError, match="16 bits"):
+        encoder.encode(["b"])
+
+
 def test_coder_round_trip_and_damage():
     rng = np.random.default_rng(4)
     blocks = [np.zeros(500, np.uint16), rng.integers(0, 65536, 500).astype(np.uint16), rng.integers(0, 9, 77).astype(np.uint16)]
