@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import random
+import zlib
+from collections import Counter
+
+import numpy as np
 
 import corpus_pipeline
+from tagwright.llm import mixing, tokens
 from tests.llm.test_llm import grams
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -44,3 +49,83 @@ def test_near_copies_keep_one_row_of_each_group(spark):
     for group, smallest in zip(groups, least):
         kept = [r for r in got if r in group]
         assert len(kept) == 1 and (-1 if kept[0][0] is None else kept[0][0]) == smallest
+
+
+ITEM = "The train with Anna leaves at 12 km per 3 hours and Anna waits for 12 minutes at home today."
+
+
+def count(rows) -> Counter:
+    return Counter(tuple(r) for r in rows)
+
+
+def test_contaminated_rows_are_dropped(spark, tmp_path):
+    words = ITEM.split()
+    long = ITEM[:-1] + " until her old friend Tom comes by with 5 red apples and some bread for the long way back."
+    far = long.split()
+    leaks = ["before " + ITEM + " after", ITEM.replace("Anna", "Bert").replace("12", "40"), ITEM.upper(), long]
+    leaks += [" ".join([*far[:19], "really", *far[19:]])]
+    clean = ["The train leaves.", "", None, " ".join(reversed(words)), "no item here at all, only words"]
+    spark.createDataFrame([(1, ITEM), (2, long), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(leaks + clean)]
+    rows += [(None, t, "en", "s", 1) for t in leaks + clean] + [(0, clean[4], "en", "s", 1), rows[5], rows[0]]
+    got = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert count(got) == count(r for r in rows if r[1] in clean)
+
+
+def test_mix_takes_each_row_as_often_as_its_id_is_due(spark):
+    rng = random.Random(13)
+    rows = [(i if i % 9 else None, " ".join(["w"] * rng.randrange(8)) + f" t{i}", "en", rng.choice(["a", "b", "c", None]), i) for i in range(300)]
+    rows += [(500, None, "en", "a", 0), (500, "", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    due: dict[tuple, int] = {}
+    for r in mixing.mix_sources(docs).collect():
+        key = (r.doc_id, r.source, r.size)
+        due[key] = max(due.get(key, 0), r.copies)
+    want = Counter()
+    for r in rows:
+        want[r] = due.get((r[0], r[3], len((r[1] or "").split())), 0)
+    got = corpus_pipeline.mix_to_targets(spark, docs, "").collect()
+    assert count(got) == +want
+
+
+def test_quality_keeps_what_is_predicted_good(spark, tmp_path):
+    rng = random.Random(14)
+    rows, labels = [], []
+    for i in range(200):
+        words = " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(60))
+        rows.append((i, words if i % 3 else words.upper().replace(" ", "!! "), "en", "s", i))
+        labels.append((i, int(i % 3 != 0)))
+    rows += [(None, rows[1][1], "en", "s", 0), (None, rows[0][1], "en", "s", 1), rows[4], rows[3]]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.keep_quality(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert count(got) == count(r for r in rows if "!!" not in r[1])
+
+
+def test_run_row_by_row(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(15)
+    rows, labels = [], []
+    for i in range(150):
+        words = " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(60))
+        text = words if i % 3 else words.upper().replace(" ", "!! ")
+        rows.append((i, f"{text} {ITEM}" if i % 10 == 1 else text, "en", rng.choice("abc"), i))
+        labels.append((i, int(i % 3 != 0)))
+    good = [r for r in rows if r[0] % 3]
+    more = [(200 + i, r[1] + " more", "en", "a", 0) for i, r in enumerate(good[:20])]  # near copies
+    more += [(None, r[1][30:], "en", "b", 0) for r in good[20:24]]  # near copies without an id, which stay
+    more += [good[3], good[5]]
+    spark.createDataFrame(rows + more, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    left = [min(g, key=lambda r: -1 if r[0] is None else r[0]) for g in plain_near_copies([r for r in rows + more if "!!" not in r[1]])]
+    left = [r for r in left if ITEM not in r[1]]
+    due = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix_sources(spark.createDataFrame(left, SCHEMA)).collect()}
+    tokenizer = Tokenizer.from_file(tokens.default_tokenizer())
+    want = Counter()
+    for r in left:
+        ids = np.array(tokenizer.encode(r[1], add_special_tokens=False).ids + [tokens.END], "<u4")
+        want[(r[0], len(ids), zlib.crc32(ids.tobytes()))] += due[(r[0], r[3], len(r[1].split()))]
+    got = Counter((r[0], r[2], r[3]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == +want
