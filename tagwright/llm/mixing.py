@@ -113,7 +113,7 @@ def mix_sources(
         .withColumn("due", due)
         .withColumn("certain", F.floor("due"))
         .withColumn("part", F.col("due") - F.col("certain"))
-        .withColumn("_odds", odds / (F.col("part") / (1 - F.col("part"))))
+        .withColumn("_odds", odds / F.when(F.col("part") > 0, F.col("part") / (1 - F.col("part"))))
         .withColumn("rank", F.when(F.col("part") > 0, F.col("_odds") / (1 + F.col("_odds"))))
         .drop("_odds")
     )
