@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagwright.llm import chat, jaccard, mixing, neighbours, pages, pseudo, quality, substrings, templates, tokens
+from tagwright.llm import (
+    chat, jaccard, merkle, mixing, neighbours, packing, pages, pseudo, quality, search, substrings, templates, tokens,
+)
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -143,6 +145,97 @@ from words left join kept using (doc_id)
 """
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"), merkle.lower_cased())
+
+
+def _op11_sql(levels: int = 9, tree_levels: int = 4) -> str:
+    """Levels written out: 8^9 documents a lang, 8^4 langs."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def value(column: str) -> str:
+        return f"coalesce(strlen({column}::varchar) || ':' || {column}::varchar, '-')"
+
+    head = " || ".join(value(c) for c in merkle.COLUMNS[:-1])
+    bits = "list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b))"
+    crc = f"xor(list_reduce(list_transform(range(1, len(doc_id::varchar) + 1), lambda i: ord(substr(doc_id::varchar, i, 1))::bigint), lambda c, b: {bits}, 4294967295), 4294967295)"
+    parts = [
+        f"""leaves as (
+  select row_number() over () as id, doc_id, lang, sha256({head} || {value("text")}) as leaf,
+         case when text is not null and {crc} % 3 = 0
+              then sha256({head} || {value(f"translate(text, '{upper}', '{upper.lower()}')")}) end as altered
+  from documents)""",
+        """nodes0 as (
+  select lang as tree, row_number() over (partition by lang order by doc_id nulls last, leaf, id) - 1 as place, leaf as node, id from leaves)""",
+        """ways0 as (
+  select id, leaf, tree, place, coalesce(altered, leaf) as folded, '' as proof from leaves join nodes0 using (id))""",
+    ]
+
+    def step(k: int) -> list[str]:
+        return [
+            f"sized{k} as (select tree, place, node, count(*) over (partition by tree) as n from nodes{k})",
+            f"""nodes{k + 1} as (
+  select tree, place // 8 as place, case when max(n) = 1 then max(node) else sha256(string_agg(node, '' order by place)) end as node
+  from sized{k} group by tree, place // 8)""",
+            f"""ways{k + 1} as (
+  select w.id, w.leaf, w.tree, w.place // 8 as place,
+         case when max(n) = 1 then max(folded)
+              else sha256(string_agg(case when s.place = w.place then folded else node end, '' order by s.place)) end as folded,
+         max(proof) || coalesce(string_agg(node, '' order by s.place) filter (s.place <> w.place), '') as proof
+  from ways{k} w join sized{k} s on s.tree is not distinct from w.tree and s.place // 8 = w.place // 8
+  group by w.id, w.leaf, w.tree, w.place)""",
+        ]
+
+    for k in range(levels):
+        parts += step(k)
+    top = levels + 1
+    parts += [
+        f"subroots as (select tree as lang, node as subroot from nodes{levels})",
+        f"nodes{top} as (select '' as tree, row_number() over (order by lang nulls first) - 1 as place, subroot as node, lang from subroots)",
+        f"""ways{top} as (
+  select w.id, w.leaf, '' as tree, n.place, folded, proof from ways{levels} w join nodes{top} n on n.lang is not distinct from w.tree)""",
+    ]
+    for k in range(top, top + tree_levels):
+        parts += step(k)
+    end = top + tree_levels
+    return f"""with {", ".join(parts)}
+select l.doc_id, l.leaf, s.subroot, r.node as root, sha256(w.proof) as proof_sha256, w.folded as folded_root, w.folded = r.node as verified
+from leaves l join ways{end} w using (id) join subroots s on s.lang is not distinct from l.lang, nodes{end} r
+"""
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_table(packing.pack_documents(table(spark, sf_dir, "documents")))
+
+
+def op13_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+with terms as (
+  select row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+  from (select row_number() over () as row, * from documents)),
+lengths as (select row, doc_id, count(*) as n from terms group by all),
+figures as (select count(*) as big_n, sum(n)::bigint as big_l from lengths),
+norms as (select row, doc_id, 25 + ((75 * n * big_n) // big_l) as m from lengths, figures),
+tfs as (select row, term, count(*) as tf from terms group by all),
+weights as (
+  select term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::bigint as w from tfs, figures group by term, big_n),
+asked as (
+  select item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+  from (select row_number() over () as item, * from benchmark)),
+scored as (
+  select item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join weights using (term) join tfs using (term) join norms using (row) group by all)
+select item_id, row_number() over (partition by item order by score desc, doc_id nulls first)::int as rank, doc_id, score
+from scored where score > 0
+qualify rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_collision_neighbours": op2_collision_neighbours,
@@ -154,6 +247,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_block_max_search": op13_block_max_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -161,4 +257,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ngram_jaccard": OP7_SQL,
     "op8_source_mixing": mixing.ORACLE,
     "op9_substring_dedup": OP9_SQL,
+    "op11_merkle_manifest": _op11_sql(),
+    "op13_block_max_search": OP13_SQL,
 }
