@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tagwright.llm.wordids import encoder_of
+from tagwright.llm.units import encoder_of
 from tagwright.llm.words import chunks
 from tagwright.session import write_shared
 
@@ -130,15 +130,13 @@ def encode_pieces(path: str, capacity: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for one task
-        encoder, part = encoder_of(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path, words=True), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)  # pieces of each length so far
-        end = np.array([END], np.int32)
         for chunk in chunks(batches, "text"):
-            texts = [t or "" for t in chunk.column("text").to_pylist()]
-            each = [np.append(ids, end) for ids in encoder.encode(texts)]
-            sizes = np.array([len(ids) for ids in each])
+            ids, bounds = encoder.encode(chunk.column("text"))
+            sizes = np.diff(bounds) + 1
             cuts = -(-sizes // capacity)
-            doc = np.repeat(np.arange(len(each)), cuts)
+            doc = np.repeat(np.arange(len(sizes)), cuts)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
             start = piece * capacity
             length = np.minimum(sizes[doc] - start, capacity)
@@ -147,7 +145,7 @@ def encode_pieces(path: str, capacity: int):
             number = np.empty(len(doc), np.int64)
             number[order] = np.arange(len(doc)) - np.repeat(np.cumsum(new) - new, new) + seen[length[order]]
             seen += new
-            bytes_of = np.concatenate(each).astype("<u4").view(np.uint8)
+            bytes_of = np.insert(ids.astype("<u4"), bounds[1:], END).view(np.uint8)
             ends = np.append(0, np.cumsum(length * 4)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -14,22 +14,19 @@ Blocks are rows of (part, block, ids, data) that Spark writes and commits, so a
 executor leaves no half file. Reading checks every block; checksums of documents
 that span blocks are combined from those of their pieces, so ids never travel.
 
-Texts are cut before spaces that stand before something else, where the
-tokenizer's own split always begins a piece; each distinct cut is encoded once
-and kept, from task to task of a worker process, in a table that is emptied when
-it is full. New cuts are joined for one call of the tokenizer, and its ids dealt
-back by the bytes they stand for.
+Texts are encoded by their units (see units), each distinct one once; a worker
+process keeps them from task to task, in a table bounded in bytes.
 
 Defined results: a null or empty text has the end id alone; a null id comes
-before all others; repeated rows stand one after the other and are told apart by
-their place; columns of other names play no part; an empty table gives an empty
+before all others; rows of one id stand in order of their texts' hashes; repeated
+rows stand one after the other and are told apart by their place; very long texts
+span blocks; columns of other names play no part; an empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -40,18 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tagwright.llm import coder
+from tagwright.llm.units import UnitEncoder, encoder_of
 from tagwright.llm.words import chunks
 from tagwright.session import shared_path
 
 END = 0
-CACHED = 800_000  # distinct cuts a worker process keeps
-JOINED = 1_000  # new cuts in one call of the tokenizer
 
 _MAGIC, _VERSION = b"TWTB", 1
 _HEADER = struct.Struct("<4sHIIIII")
 _PIECE = np.dtype([("doc", "<i8"), ("place", "<i8"), ("number", "<i8"), ("piece", "<i4"), ("n", "<i4")])
 _NULL_ID = -(1 << 63)
-_WIDE = re.compile(r" (?:\s|\Z)")
 
 
 def default_tokenizer() -> str:
@@ -60,118 +55,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Slots(dict):
-    """Numbers of cuts, in order of appearance; ``new`` are those to be encoded."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        self[key] = slot = len(self)
-        self.new.append(key)
-        return slot
-
-
-class Encoder:
-    """Ids of texts by one tokenizer.
-
-    A cut is known by a key: what follows its space, or, if it has none before
-    something else, a space and the cut.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        # Byte-level tokens are written with one character for each byte.
-        self.n_bytes = np.zeros(1 + max(vocabulary.values()), np.int64)
-        self.n_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.clear()
-
-    def clear(self) -> None:
-        self.slot = _Slots()
-        self.starts, self.counts, self.table = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint16)
-
-    def keys(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [" " + text]
-        parts = text.split(" ")
-        if not _WIDE.search(text):
-            parts[0] = " " + parts[0]
-            return parts
-        keys = [" " + parts[0]]
-        for part in parts[1:]:
-            if part and not part[0].isspace():
-                keys.append(part)
-            else:
-                keys[-1] += " " + part
-        return keys
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def add(self) -> None:
-        """Encode new cuts and keep their ids."""
-        new, self.slot.new = self.slot.new, []
-        first = len(self.counts)
-        cuts = [key[1:] if key[0] == " " else " " + key for key in new]
-        joinable = [i for i, key in enumerate(new) if key[0] != " "]
-        single = [i for i, key in enumerate(new) if key[0] == " "]
-        groups = [joinable[i : i + JOINED] for i in range(0, len(joinable), JOINED)]
-        order, sizes, found = [], [], []
-        for group, ids in zip(groups, self.ids(["".join([cuts[i] for i in g]) for g in groups])):
-            ids = np.array(ids, np.int64)
-            ends = np.cumsum(self.n_bytes[ids])
-            own = pa.array([cuts[i] for i in group], pa.string())
-            want = np.frombuffer(own.buffers()[1], np.int32)[1 : len(group) + 1]
-            at = np.searchsorted(ends, want)
-            if ends[-1] != want[-1] or (ends[at] != want).any():
-                single += group  # a special token, or an id across a cut
-                continue
-            order += group
-            sizes.append(np.diff(at + 1, prepend=0))
-            found.append(ids)
-        for i, ids in zip(single, self.ids([cuts[i] for i in single])):
-            order.append(i)
-            sizes.append(np.array([len(ids)]))
-            found.append(np.array(ids, np.int64))
-        counts = np.concatenate(sizes)
-        ends = len(self.table) + np.cumsum(counts)
-        self.starts = np.append(self.starts, np.empty(len(new), np.int32))
-        self.counts = np.append(self.counts, np.empty(len(new), np.int32))
-        self.starts[first + np.array(order)], self.counts[first + np.array(order)] = ends - counts, counts
-        ids = np.concatenate(found)
-        if len(ids) and ids.max() > 0xFFFF:
-            raise ValueError(f"token id {ids.max()} does not fit in 16 bits")
-        self.table = np.concatenate([self.table, ids.astype(np.uint16)])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.slot) > CACHED:
-            self.clear()
-        keys = [self.keys(t) for t in texts]
-        slots = [np.fromiter(map(self.slot.__getitem__, own), np.int64, len(own)) for own in keys]
-        if self.slot.new:
-            self.add()
-        out = []
-        for own in slots:
-            n = self.counts.take(own)
-            ends = np.cumsum(n)
-            spots = np.arange(ends[-1]) + np.repeat(self.starts.take(own) - (ends - n), n)
-            out.append(np.append(self.table.take(spots), np.uint16(END)))
-        return out
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    """The encoder of this worker process, with the cuts that its tasks have met."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encode_documents(encoder: UnitEncoder, texts: pa.Array) -> list[np.ndarray]:
+    """Ids of each text with the end id."""
+    ids, bounds = encoder.encode(texts)
+    if len(ids) and ids.max() > 0xFFFF:
+        raise ValueError(f"token id {ids.max()} does not fit in 16 bits")
+    ends = bounds[1:]
+    ids = np.insert(ids.astype(np.uint16), ends, END)
+    return np.split(ids, (ends + np.arange(1, len(ends) + 1))[:-1])
 
 
 def checksum(ids: np.ndarray) -> int:
@@ -188,7 +79,7 @@ def encode_blocks(path: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for one task
-        encoder, part = encoder_of(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path, words=False), TaskContext.get().partitionId()
         waiting: list[tuple[np.ndarray, list[tuple]]] = []  # full blocks
         ids: list[np.ndarray] = []
         pieces: list[tuple] = []
@@ -212,8 +103,7 @@ def encode_blocks(path: str):
             )
 
         for chunk in chunks(batches, "text"):
-            texts = chunk.column("text").to_pylist()
-            for doc, own in zip(chunk.column("id").to_pylist(), encoder.encode([t or "" for t in texts])):
+            for doc, own in zip(chunk.column("id").to_pylist(), encode_documents(encoder, chunk.column("text"))):
                 at = piece = 0
                 while at < len(own):
                     take = min(coder.BLOCK - held, len(own) - at)
@@ -323,7 +213,8 @@ def join_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Write the ids of ``docs`` (doc_id, text) to ``path``."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), "text")
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
+    keys = [F.col("id"), F.xxhash64("text")]  # rows of one id are spread, too
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("id", "text")
     blocks = ordered.mapInArrow(encode_blocks(tokenizer or default_tokenizer()), "part long, block long, ids long, data binary")
     blocks.write.mode("overwrite").option("compression", "none").parquet(path)
 

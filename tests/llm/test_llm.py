@@ -7,10 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagwright.llm import coder, chat, jaccard, mixing, neighbours, pages, pseudo, quality, substrings, templates, tokens
 from tagwright.llm.graph import components
+from tagwright.llm.units import UnitEncoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n string, id string"
@@ -142,16 +144,16 @@ def test_token_files_read_back(spark, docs, tmp_path, monkeypatch):
 
 @pytest.mark.parametrize("text", [" a  b\n c", "a \n\n b ", "\t x 's  y", "", "  ", "don't <|endoftext|> x", "a  b  c"])
 def test_cut_texts_have_the_tokenizers_ids(text):
-    encoder = tokens.Encoder(tokens.default_tokenizer())
+    encoder = UnitEncoder(tokens.default_tokenizer(), words=False)
     want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-    assert encoder.encode([text])[0].tolist() == [*want, 0]
+    assert tokens.encode_documents(encoder, pa.array([text]))[0].tolist() == [*want, 0]
 
 
 def test_wide_ids_are_an_error():
-    encoder = tokens.Encoder(tokens.default_tokenizer())
-    encoder.ids = lambda texts: [[70000] for _ in texts]
+    encoder = UnitEncoder(tokens.default_tokenizer(), words=False)
+    encoder.encode = lambda texts: (np.array([70000], np.uint32), np.array([0, 1]))
     with pytest.raises(ValueError, match="16 bits"):
-        encoder.encode(["b"])
+        tokens.encode_documents(encoder, pa.array(["b"]))
 
 
 def test_coder_round_trip_and_damage():
@@ -420,12 +422,10 @@ def test_empty_tables(spark, none):
 def test_joined_cuts_give_the_ids_of_the_library():
     import random
 
-    from tagwright.llm import tokens
-
-    encoder = tokens.Encoder(tokens.default_tokenizer())
+    encoder = UnitEncoder(tokens.default_tokenizer(), words=False)
     parts = [" ", "  ", "\n", "a", "b1", "'s", "<|endoftext|>", "<|", "é", "　", "\x1f", "😀", "."]
     rng = random.Random(1)
     texts = ["", " ", "a ", " a", *("".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(500))]
-    for text, ids in zip(texts, encoder.encode(texts)):
+    for text, ids in zip(texts, tokens.encode_documents(encoder, pa.array(texts))):
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert ids.tolist() == [*want, tokens.END]

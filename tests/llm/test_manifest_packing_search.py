@@ -13,8 +13,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tagwright.llm import merkle, packing, search
-from tagwright.llm.wordids import WordEncoder
+from tagwright.llm import merkle, packing, search, tokens, units
+from tagwright.llm.units import UnitEncoder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree string, place long, length int"
 
@@ -157,15 +157,28 @@ def tokenizer():
     return Tokenizer.from_file(packing.default_tokenizer())
 
 
-def test_word_ids_are_the_tokenizers():
-    plain, own = tokenizer(), WordEncoder(packing.default_tokenizer())
+@pytest.mark.parametrize("words", [True, False])
+def test_units_give_the_tokenizers_ids(monkeypatch, words):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(units, "KEPT_BYTES", 20_000)  # the table starts anew several times
+    path = packing.default_tokenizer() if words else tokens.default_tokenizer()
+    plain, own = Tokenizer.from_file(path), UnitEncoder(path, words)
     rng = random.Random(2)
-    marks = "abXYZéÉßİΣσς̈́'’stred.,;:!0123$&_-\x85\xa0　​ \x1c\x00\t\n\r\x0b字ｱ🙂½²<|>"
-    texts = ["", " ", "<|endoftext|>", "a<|startoftext|>b c", "don't I'LL 'tis", "x" * 200 + " y " + "x" * 200]
-    texts += ["".join(rng.choice(marks) for _ in range(rng.randrange(60))) for _ in range(1_500)]
+    marks = "abXYZéÉßİΣσς̈́'’stred.,;:!0123$&_-\x85\xa0　​ \x1c\x00\t\n\r\x0b字ｱ🙂½²×÷ª<|>"
+    few = "abXYZéÉß' st re.,;!?019$_-\t\n  "
+    texts = ["", " ", "  ", "\n", "a\n\nb", "a \n b", " <|endoftext|>", "a  <|endoftext|>", "a<|startoftext|>b c"]
+    texts += [None, "don't I'LL 'tis", "x" * 200 + " y " + "x" * 200, "x" * 200_000]
+    texts += ["".join(rng.choice(marks if i % 2 else few) for _ in range(rng.randrange(60))) for i in range(2_000)]
+    for some in ([t] for t in texts[:40]):
+        ids, _ = own.encode(units.pa.array(some, units.pa.string()))
+        assert ids.tolist() == plain.encode(some[0] or "", add_special_tokens=False).ids, some
     for at in range(0, len(texts), 100):
-        for text, ids in zip(texts[at : at + 100], own.encode(texts[at : at + 100])):
-            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+        some = texts[at : at + 100]
+        ids, bounds = own.encode(units.pa.array(some, units.pa.string()))
+        for text, a, b in zip(some, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
+        assert own.kept_bytes() < 200_000 + 20_000
 
 
 def test_packing(docs):
