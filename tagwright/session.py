@@ -96,6 +96,13 @@ def folders_like(spark: SparkSession, pattern: str) -> list[str]:
     return [f.getPath().toString() for f in found or [] if f.isDirectory()]
 
 
+def files_like(spark: SparkSession, pattern: str) -> frozenset[str]:
+    """Names of the files that match a pattern with wildcards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return frozenset(f.getPath().getName() for f in found or [] if not f.isDirectory())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -44,8 +44,7 @@ class Job:
         )
 
     def outbox(self) -> list[dict]:
-        path = f"{self.root}/store/outbox"
-        return as_dicts(self.spark.read.parquet(path))
+        return as_dicts(self.store.read("outbox"))
 
     def report(self, run_id, batch_id, rows, attempt=1) -> None:
         full = [(a, c, s, None, None, e, NOW, i) for i, (a, c, s, e) in enumerate(rows)]
@@ -132,11 +131,11 @@ def test_interrupted_batch_is_done_again_once(star, tmp_path, monkeypatch):
     write = job.store.write_failures
     calls = []
 
-    def fail_in_second_batch(rows, run_id, batch_id, attempt=0):
+    def fail_in_second_batch(rows, run_id, batch_id, commit, attempt=0):
         calls.append(batch_id)
         if batch_id == 1 and calls.count(1) == 1:
             raise RuntimeError("lost")
-        write(rows, run_id, batch_id, attempt)
+        write(rows, run_id, batch_id, commit, attempt)
 
     monkeypatch.setattr(job.store, "write_failures", fail_in_second_batch)
     with pytest.raises(Exception, match="lost"):
@@ -144,17 +143,16 @@ def test_interrupted_batch_is_done_again_once(star, tmp_path, monkeypatch):
     job.run(1).process_new_files()
     assert calls == [0, 1, 1]
     assert keys(job.outbox()) == sorted({(r["address"].lower(), r["chain_id"]) for r in VALID})
-    labelled = job.spark.read.parquet(f"{job.root}/store/labelled")
-    assert labelled.count() == len(expected_labels())
+    assert job.store.read("labelled").count() == len(expected_labels())
 
 
 def stop_at(monkeypatch, store, batch):
     """Let a batch fail after its outbox and attempts were written."""
 
-    def fail(rows, run_id, batch_id, attempt=0):
+    def fail(rows, run_id, batch_id, commit, attempt=0):
         if batch_id == batch:
             raise RuntimeError("lost")
-        DeliveryStore.write_failures(store, rows, run_id, batch_id, attempt)
+        DeliveryStore.write_failures(store, rows, run_id, batch_id, commit, attempt)
 
     monkeypatch.setattr(store, "write_failures", fail)
 
