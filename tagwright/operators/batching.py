@@ -83,7 +83,8 @@ def retry_rows(batches: DataFrame) -> DataFrame:
 
 
 def payloads(batches: DataFrame) -> DataFrame:
-    """One row per batch: the valid labels as a list, and the invalid skipped.
+    """One row per batch: the valid labels as a list, and the invalid skipped. Leave
+    out the labels that were sent before first.
 
     The list is as long as a batch at most, because batches are cut by position.
     """
@@ -113,25 +114,30 @@ def payload_results(batches: DataFrame) -> DataFrame:
 # -- progress and resume ------------------------------------------------------
 
 
-def progress_rows(batches: DataFrame, batch_size: int, total_rows: int) -> DataFrame:
+def _column(value: int | Column) -> Column:
+    """``total_rows`` may be a scalar subquery, so that counting is part of the plan."""
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def progress_rows(batches: DataFrame, batch_size: int, total_rows: int | Column) -> DataFrame:
     """The progress record written before each batch: its 1-based number, the
     number of batches, and the offset behind the batch. ``batches`` needs one
     row per batch."""
     number = F.col("batch_id") + 1
     return batches.select(
         number.alias("batch_num"),
-        F.lit(-(-total_rows // batch_size)).cast("long").alias("total_batches"),
+        F.ceil(_column(total_rows) / F.lit(batch_size)).cast("long").alias("total_batches"),
         F.lit(batch_size).cast("long").alias("batch_size"),
         (number * F.lit(batch_size)).cast("long").alias("offset"),
     )
 
 
-def resume_points(progress: DataFrame, total_rows: int) -> DataFrame:
+def resume_points(progress: DataFrame, total_rows: int | Column) -> DataFrame:
     """Where a run restarts after each progress record: one batch before the
     recorded offset, so the batch in flight is done again."""
     offset = F.greatest(F.lit(0).cast("long"), F.col("offset") - F.col("batch_size"))
     return progress.withColumn("resume_offset", offset).withColumn(
-        "remaining", F.lit(total_rows).cast("long") - F.col("resume_offset")
+        "remaining", _column(total_rows).cast("long") - F.col("resume_offset")
     )
 
 

@@ -347,10 +347,10 @@ def batch_running_rate(s: Sample) -> DataFrame:
     """
     select batch_id, count(*) filter (where valid) as n_labels,
            count(*) filter (where not valid) as n_skipped
-    from delivery group by batch_id"""
+    from delivery where not already_sent group by batch_id"""
 )
 def batch_payload_sizes(s: Sample) -> DataFrame:
-    batches = s.batches(s.engine.prepared(), "address", "valid", "chain_ref", "tags")
+    batches = s.delivery_batches("address", "chain_ref", "tags").filter(~F.col("already_sent"))
     return batching.payload_sizes(batching.payloads(batches))
 
 
@@ -387,7 +387,7 @@ def retry_candidates(s: Sample) -> DataFrame:
     from (select distinct batch_id + 1 as batch_num from batched) b, totals t"""
 )
 def resume_offset(s: Sample) -> DataFrame:
-    total = s.engine.join_match_counts().first()["full_join"]
+    total = s.engine.join_match_counts().select("full_join").scalar()
     batches = batching.batch_bounds(s.batches(s.labels))
     return batching.resume_points(batching.progress_rows(batches, BATCH_SIZE, total), total)
 
