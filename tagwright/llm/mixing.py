@@ -1,11 +1,13 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame operations only.
 
 Every source gets a share of all words by its weight, at most ``max_copies``
-times what it has. A document is due ``target / source size`` copies, more or
-less by its ``favour``: the whole part is certain, the rest is the inclusion
-probability of one more copy. Documents are ranked by the odds of a random
-number (from a hash of the id, so that reruns agree) over the odds of inclusion,
-and take the extra copy in that order until the source's target is reached.
+times what it has. A document is due copies in proportion to its ``favour``, at
+most ``max_copies``, so that the words due add up to the target: the whole part is
+certain, the rest is the inclusion probability of one more copy. Documents are
+ranked by the odds of a random number over the odds of inclusion, and take the
+extra copy in that order until the source's target is reached. The random number
+hashes the row (id, source, text, and its number among equal rows), so that reruns
+agree, however the rows are partitioned.
 
 The rank order of a source is never sorted as a whole, as one source may hold a
 third of all rows. A radix descent sums sizes by digits of the rank value (at
@@ -14,9 +16,9 @@ most ``DIGIT`` sums for each source and level) until the boundary lies in a
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; documents of size 0 take 0 words; without any word all targets
-are 0; repeated rows are sampled as rows of their own (the same id has the same
-random number); a null id counts as an empty one; columns of other names play
-no part; an empty table gives an empty result.
+are 0; rows of one id and repeated rows are sampled as rows of their own, also
+where the id is null; very long texts count whole; columns of other names play no
+part; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,49 +70,95 @@ def source_targets(sources: DataFrame, weights: Sequence[int], max_copies: int)
     ).select("source", "source_size", "target")
 
 
-def random_number(row_id: Column, seed: int) -> Column:
-    """A number inside (0, 1) from 52 bits of a hash of the id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id.cast("string"), F.lit(""))))
+def twin_key(doc_id: Column, source: Column, text: Column) -> Column:
+    """A digest that equal rows share."""
+    parts = [F.coalesce(F.concat(F.lit("i"), doc_id.cast("string")), F.lit("-"))]
+    parts.append(F.coalesce(F.concat(F.lit("s"), source), F.lit("-")))
+    parts.append(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.md5(F.concat_ws("|", *parts).cast("binary"))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Stored rows (twin, part, ...) with their ``number`` among equal ones, counted
+    inside the task that wrote them and then over tasks, so that a row repeated
+    without end is no single group."""
+    counts = rows.groupBy("twin", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("twin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("first", F.sum("n").over(earlier)).filter("first is not null").select("twin", "part", "first")
+    inside = F.row_number().over(Window.partitionBy("twin", "part").orderBy("size"))
+    marked = rows.withColumn("inside", inside).join(before, ["twin", "part"], "left")
+    return marked.withColumn("number", F.col("inside") + F.coalesce("first", F.lit(0))).drop("inside", "first")
+
+
+def random_number(twin: Column, number: Column, seed: int) -> Column:
+    """A number inside (0, 1) from 52 bits of a hash of the row."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), twin, F.lit(":"), number.cast("string")))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     return (bits + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def copies_due(sized: DataFrame, targets: DataFrame, max_copies: int) -> DataFrame:
+    """Copies that a document is due, by source and favour: favour times a level, at
+    most ``max_copies``. Favours fill up from the highest down, and the level at
+    which the rest takes the rest of the target holds for all of them. One row for
+    each source and favour; a source's favours meet in one task."""
+    classes = with_source(sized.groupBy("source", "favour").agg(F.sum("size").alias("words")), targets)
+    by_favour = Window.partitionBy("source").orderBy(F.desc("favour"))
+    before = by_favour.rowsBetween(Window.unboundedPreceding, -1)
+    onward = by_favour.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = F.col("target") - F.lit(float(max_copies)) * F.coalesce(F.sum("words").over(before), F.lit(0))
+    liked = F.sum(F.col("favour") * F.col("words")).over(onward)
+    leveled = classes.withColumn("level", F.when(liked > 0, F.try_divide(left, liked)).otherwise(F.lit(0.0)))
+    full = F.col("level") * F.col("favour") >= F.lit(float(max_copies))
+    level = F.max(F.when(~full, F.col("level"))).over(Window.partitionBy("source"))
+    due = F.when(full, F.lit(float(max_copies))).otherwise(F.col("favour") * level)
+    return leveled.select("source", "favour", "source_size", "target", due.alias("due"))
+
+
 def mix_sources(
     docs: DataFrame,
     *,
     weights: Sequence[int] = WEIGHTS,
     max_copies: int = MAX_COPIES,
-    favour: str | None = None,
+    favour: Column | None = None,
+    keep: str | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size,
-    source_size, target, copies, taken (= copies * size).
+    source_size, target, copies, taken (= copies * size), and the column that
+    ``keep`` names, as ``kept``.
 
-    ``favour`` names a column of positive numbers: a document of twice the favour
-    is due twice the copies (1 where it is missing or not positive). What
-    documents at ``max_copies`` cannot take goes to the next in rank.
+    A document of twice the ``favour`` is due twice the copies, up to
+    ``max_copies`` (1 where it is missing or not positive). It should have few
+    distinct values, such as grades.
     """
     liked = F.lit(1.0)
     if favour is not None:
-        given = F.col(favour).cast("double")
+        given = favour.cast("double")
         liked = F.when((given > 0) & (given < float("inf")), given).otherwise(F.lit(1.0))
     sized = write_shared(
-        docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), liked.alias("favour"))
-    )
-    totals = sized.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("favour")).alias("liked")
+        docs.select(
+            "doc_id",
+            "source",
+            n_words(F.col("text")).alias("size"),
+            liked.alias("favour"),
+            twin_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("twin"),
+            F.spark_partition_id().alias("part"),
+            (F.lit(None).cast("long") if keep is None else F.col(keep)).alias("kept"),
+        )
     )
-    targets = source_targets(totals.select("source", "source_size"), weights, max_copies)
-    totals = totals.select(F.col("source").alias("_source"), "liked")
-    targets = targets.join(totals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(totals, weights, max_copies)
+    due = write_shared(copies_due(sized, targets, max_copies))
 
-    due = F.when(F.col("liked") > 0, F.col("target") * F.col("favour") / F.col("liked")).otherwise(0.0)
-    due = F.least(due, F.lit(float(max_copies)))
-    odds = random_number(F.col("doc_id"), seed)
+    odds = random_number(F.col("twin"), F.col("number"), seed)
     odds = odds / (1 - odds)
+    other = due.withColumnsRenamed({"source": "_source", "favour": "_favour"})
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("favour") == F.col("_favour"))
     ranked = (
-        with_source(sized, targets)
-        .withColumn("due", due)
+        numbered(sized)
+        .join(other, same)
+        .drop("_source", "_favour", "part")
         .withColumn("certain", F.floor("due"))
         .withColumn("part", F.col("due") - F.col("certain"))
         .withColumn("_odds", odds / F.when(F.col("part") > 0, F.col("part") / (1 - F.col("part"))))
@@ -126,7 +174,7 @@ def mix_sources(
     )
     decided = placed.withColumn("extra", extra)
     at_bound = decided.filter(F.col("extra").isNull())
-    order = Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source").orderBy("rank", "twin", "number").rowsBetween(Window.unboundedPreceding, -1)
     so_far = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     at_bound = at_bound.withColumn(
         "extra", (so_far + F.col("size") / 2 <= F.col("need")).cast("int")
@@ -141,6 +189,7 @@ def mix_sources(
         "target",
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
+        "kept",
     )
 
 
@@ -199,8 +248,11 @@ def boundaries(ranked: DataFrame) -> DataFrame:
 
 ORACLE = """
 with sized as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size
-  from documents),
+  select doc_id, source, size, length(size::varchar)::double as favour, twin,
+         row_number() over (partition by twin) as number
+  from (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
+               md5(coalesce('i' || doc_id::varchar, '-') || '|' || coalesce('s' || source, '-') || '|' || md5(coalesce(text, ''))) as twin
+        from documents)),
 totals as (
   select source, sum(size)::bigint as source_size from sized group by source),
 weighted as (
@@ -218,11 +270,25 @@ targets as (
          case when level >= fill then cap
               else weight * max(case when level < fill then level end) over () end as target
   from leveled),
+classes as (
+  select s.source, favour, source_size, target, sum(size)::double as words
+  from sized s join targets t on s.source is not distinct from t.source group by all),
+filled as (
+  select *, case when sum(favour * words) over later > 0
+                 then (target - 3.0::double * coalesce(sum(words) over earlier, 0)) / sum(favour * words) over later
+                 else 0.0::double end as level
+  from classes
+  window earlier as (partition by source order by favour desc rows between unbounded preceding and 1 preceding),
+         later as (partition by source order by favour desc rows between current row and unbounded following)),
+dues as (
+  select source, favour, source_size, target,
+         case when level * favour >= 3 then 3.0::double
+              else favour * max(case when level * favour < 3 then level end) over (partition by source) end as due
+  from filled),
 due as (
-  select s.doc_id, s.source, s.size, t.source_size, t.target,
-         case when t.source_size > 0 then least(t.target * 1.0::double / t.source_size, 3.0::double) else 0 end as due,
-         (cast('0x' || substr(md5('0:' || coalesce(s.doc_id::varchar, '')), 1, 13) as bigint)::double + 0.5) / 4503599627370496.0::double as u
-  from sized s join targets t on s.source is not distinct from t.source),
+  select s.doc_id, s.source, s.size, s.twin, s.number, d.source_size, d.target, d.due,
+         (cast('0x' || substr(md5('0:' || twin || ':' || number::varchar), 1, 13) as bigint)::double + 0.5) / 4503599627370496.0::double as u
+  from sized s join dues d on s.source is not distinct from d.source and s.favour = d.favour),
 ranked as (
   select *, due - floor(due) as part,
          (u / (1 - u)) / ((due - floor(due)) / (1 - (due - floor(due)))) as odds
@@ -233,7 +299,7 @@ placed as (
   from ranked),
 summed as (
   select *, coalesce(sum(case when place is not null then size end)
-              over (partition by source order by place nulls last, doc_id
+              over (partition by source order by place nulls last, twin, number
                     rows between unbounded preceding and 1 preceding), 0)::double as so_far
   from placed)
 select doc_id, size::bigint as size, source_size, target,

@@ -30,9 +30,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tagwright.session import write_shared
 
 K = 20
-LINES = 64
-COLLISIONS = 0.65  # share of the lines on which a verified vector collides
-VERIFIED = 0.18  # share of a block that is verified before widening stops
+# Against exact search, all queries: recall 0.974 (sf0.001), 0.978 (sf0.01), 0.986
+# (sf0.1), 0.999 (8,192 vectors of check_s).
+LINES = 128
+COLLISIONS = 0.75  # share of the lines on which a verified vector collides
+VERIFIED = 0.25  # share of a block that is verified before widening stops
 WIDEN = 1.2
 INDEX_BLOCK = 8192
 QUERY_BLOCK = 2048

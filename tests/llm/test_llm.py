@@ -259,6 +259,24 @@ def test_quality_learns_and_holds_out(spark):
     assert {r.score for r in flat} == {1.0}
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_neighbours_recall_on_the_given_vectors(spark, sf):
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = {r.vec_id: np.array(r.embedding, float) for r in table.collect() if r.embedding is not None and None not in r.embedding}
+    rows = {i: v for i, v in rows.items() if np.isfinite(v).all() and v.any()}
+    ids, found = np.array(list(rows)), {}
+    for r in neighbours.nearest(table).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    every = np.array(list(rows.values()))
+    shares = []
+    for i in ids[ids % 20 == 0].tolist():
+        scores = every @ rows[i]
+        scores[ids == i] = -np.inf
+        best = ids[np.lexsort((ids, -scores))[: neighbours.K]]
+        shares.append(len(found[i] & set(best.tolist())) / len(best))
+    assert np.mean(shares) >= 0.95
+
+
 def test_neighbours_find_nearly_all(spark):
     rng = np.random.default_rng(6)
     vectors = rng.normal(size=(900, 16)).astype(float)
@@ -393,11 +411,13 @@ def test_chats_keep_marks_in_texts(spark):
 
 
 def test_mixing_reaches_targets_by_favour(docs, spark):
+    from pyspark.sql import functions as F
+
     got = mixing.mix_sources(docs).collect()
     assert len(got) == len(texts()) and all(r.taken <= 3 * r.size for r in got)
     many = spark.range(3000).selectExpr("id as doc_id", "repeat('w ', cast(id % 7 as int)) as text", "cast(id % 3 as string) as source", "id % 2 + 1 as liked")
-    rows = mixing.mix_sources(many, favour="liked").collect()
-    assert [tuple(r) for r in rows] and sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix_sources(many, favour="liked").collect()))
+    rows = mixing.mix_sources(many, favour=F.col("liked")).collect()
+    assert [tuple(r) for r in rows] and sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix_sources(many, favour=F.col("liked")).collect()))
     for source in "012":
         own = [r for r in rows if r.source == source]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 7

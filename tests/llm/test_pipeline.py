@@ -7,6 +7,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tagwright.llm import mixing, tokens
@@ -72,20 +74,70 @@ def test_contaminated_rows_are_dropped(spark, tmp_path):
     assert count(got) == count(r for r in rows if r[1] in clean)
 
 
-def test_mix_takes_each_row_as_often_as_its_id_is_due(spark):
+def mixable() -> list[tuple]:
+    """A half of the rows has no id, some ids have several texts, some rows are repeated."""
     rng = random.Random(13)
-    rows = [(i if i % 9 else None, " ".join(["w"] * rng.randrange(8)) + f" t{i}", "en", rng.choice(["a", "b", "c", None]), i) for i in range(300)]
-    rows += [(500, None, "en", "a", 0), (500, "", "en", "a", 0)]
-    docs = spark.createDataFrame(rows, SCHEMA)
-    due: dict[tuple, int] = {}
-    for r in mixing.mix_sources(docs).collect():
-        key = (r.doc_id, r.source, r.size)
-        due[key] = max(due.get(key, 0), r.copies)
-    want = Counter()
-    for r in rows:
-        want[r] = due.get((r[0], r[3], len((r[1] or "").split())), 0)
-    got = corpus_pipeline.mix_to_targets(spark, docs, "").collect()
+    rows = [
+        (i if i % 2 else None, " ".join(["w"] * rng.randrange(8)) + f" t{i}", "en", rng.choice(["a", "b", "c", None]), i)
+        for i in range(400)
+    ]
+    rows += [(500, None, "en", "a", 0), (500, "", "en", "a", 0), (7, "seven", "en", "a", 0), (7, "also seven", "en", "b", 0)]
+    return rows + rows[:60] * 3 + [(None, "same words", "en", "b", 1)] * 200
+
+
+def test_mix_takes_each_row_as_often_as_it_is_due(spark):
+    rows = mixable()
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], f"{SCHEMA}, n long")
+    mixed = mixing.mix_sources(docs, keep="n").collect()
+    want = Counter({rows[r.kept]: 0 for r in mixed})
+    for r in mixed:
+        want[rows[r.kept]] += r.copies
+    got = corpus_pipeline.mix_to_targets(spark, docs.drop("n"), "").collect()
     assert count(got) == +want
+    for source in ("a", "b", "c", None):
+        own = [r for r in mixed if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
+
+
+@pytest.mark.parametrize("graded", [False, True])
+def test_mixes_agree_however_rows_are_partitioned(spark, graded):
+    rows = mixable()
+    favour = F.length(F.col("n_chars").cast("string")) if graded else None
+    mixes = []
+    for seed, parts in ((1, 1), (2, 7), (3, 3)):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        mixes.append(count(mixing.mix_sources(docs, favour=favour).drop("kept").collect()))
+    assert mixes[0] == mixes[1] == mixes[2]
+    for source in ("a", "b", "c", None):
+        own = [r for r in mixes[0].elements() if r[1] == source]
+        assert abs(sum(r[6] for r in own) - own[0][4]) <= 10 and all(r[5] <= mixing.MAX_COPIES for r in own)
+
+
+def test_a_higher_favour_gives_more_copies(spark):
+    docs = spark.range(6000).selectExpr("id as doc_id", "'w w' as text", "cast(id % 3 as string) as source", "id % 2 + 1 as grade")
+    mixed = mixing.mix_sources(docs, favour=F.col("grade"), keep="doc_id").collect()
+    for source in "012":
+        own = [r for r in mixed if r.source == source]
+        low, high = (sum(r.copies for r in own if r.doc_id % 2 == g) for g in (0, 1))
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 4
+        assert high > 1.8 * low or own[0].target == 3 * own[0].source_size or max(r.copies for r in own) == 3
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, tmp_path):
+    names = ["row", "row_", "node", "id", "key", "group", "leak", "taken", "often", "copy", "kept", "size", "copies", "target", "Row", "twin"]
+    names = [n for n in names if n != "Row"] + ["part", "__id", "__node", "__copy", "__size", "__key", "component_id", "label"]
+    schema = SCHEMA + "".join(f", {n} string" for n in names)
+    rows = [(*r, *[f"{n}{i}" for n in names]) for i, r in enumerate(rows_of())]
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = [(r[0], i % 2) for i, r in enumerate(rows) if r[0] is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.collect()} <= set(rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(rows)
 
 
 def test_quality_keeps_what_is_predicted_good(spark, tmp_path):
@@ -121,11 +173,12 @@ def test_run_row_by_row(spark, tmp_path):
 
     left = [min(g, key=lambda r: -1 if r[0] is None else r[0]) for g in plain_near_copies([r for r in rows + more if "!!" not in r[1]])]
     left = [r for r in left if ITEM not in r[1]]
-    due = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix_sources(spark.createDataFrame(left, SCHEMA)).collect()}
+    frame = spark.createDataFrame([(*r, n) for n, r in enumerate(left)], f"{SCHEMA}, n long")
+    due = {r.kept: r.copies for r in mixing.mix_sources(frame, keep="n").collect()}
     tokenizer = Tokenizer.from_file(tokens.default_tokenizer())
     want = Counter()
-    for r in left:
+    for n, r in enumerate(left):
         ids = np.array(tokenizer.encode(r[1], add_special_tokens=False).ids + [tokens.END], "<u4")
-        want[(r[0], len(ids), zlib.crc32(ids.tobytes()))] += due[(r[0], r[3], len(r[1].split()))]
+        want[(r[0], len(ids), zlib.crc32(ids.tobytes()))] += due[n]
     got = Counter((r[0], r[2], r[3]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == +want
