@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; all but the last return the columns of documents. Decisions are joined
-back by id and text, so repeated rows and further columns are kept as they are.
+back by a number given to each row, or by id and text where they hang on these
+alone, so repeated rows and further columns are kept as they are, whatever the
+names of these.
 """
 
 from __future__ import annotations
@@ -22,40 +24,52 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep(docs, model)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, stored with a number each, and the name of that column."""
+    name = unused(docs, "row")
+    return write_shared(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores if the table has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: that of the smallest id (null before
     all), then of the smallest text hash. Rows are linked by their texts alone,
     whatever their ids; of rows without words, one of each id and text stays."""
-    rows = write_shared(docs.withColumn("__node", F.monotonically_increasing_id()))
-    groups = jaccard.jaccard_components(rows.select(F.col("__node").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
-    groups = groups.select(F.col("doc_id").alias("__node"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("__group"))
-    named = rows.select("__node", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key")).join(groups, "__node")
-    first = F.min(F.struct("__id", "__key", "__node"))["__node"].alias("__node")
-    linked = named.filter("__group is not null").groupBy("__group").agg(first).select("__node")
-    wordless = named.filter("__group is null").groupBy("__id", "__key").agg(F.min("__node").alias("__node")).select("__node")
-    return rows.join(linked.union(wordless), "__node", "left_semi").select(docs.columns)
+    rows, row = numbered(docs)
+    groups = jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    groups = groups.select(F.col("doc_id").alias("node"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
+    named = rows.select(F.col(row).alias("node"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")).join(groups, "node")
+    first = F.min(F.struct("id", "key", "node"))["node"].alias("node")
+    linked = named.filter("group is not null").groupBy("group").agg(first).select("node")
+    wordless = named.filter("group is null").groupBy("id", "key").agg(F.min("node").alias("node")).select("node")
+    kept = linked.union(wordless).withColumnRenamed("node", unused(rows, "node"))
+    return rows.join(kept, rows[row] == kept[kept.columns[0]], "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
     found = templates.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated")
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key"))
+    leak, key = unused(docs, "leak"), unused(docs, "key")
+    found = found.select(F.col("doc_id").alias(leak), F.col("text_key").alias(key)).distinct()
+    same = docs["doc_id"].eqNullSafe(found[leak]) & (F.xxhash64(docs["text"]) == found[key])
     return docs.join(found, same, "left_anti")
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix_sources(docs).filter("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies")
-    taken = taken.groupBy("__id", "__source", "__size").agg(F.max("copies").alias("__copies"))
-    same = (
-        docs["doc_id"].eqNullSafe(F.col("__id"))
-        & docs["source"].eqNullSafe(F.col("__source"))
-        & (mixing.n_words(docs["text"]) == F.col("__size"))
-    )
-    often = docs.join(taken, same).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return often.select(*[often[c] for c in docs.columns])
+    """Each row as often as the mix takes it."""
+    rows, row = numbered(docs)
+    taken, often, copy = unused(rows, "taken"), unused(rows, "often"), unused(rows, "copy")
+    due = mixing.mix_sources(rows, keep=row).filter("copies > 0").select(F.col("kept").alias(taken), F.col("copies").alias(often))
+    repeated = rows.join(due, rows[row] == due[taken])
+    each = F.explode(F.sequence(F.lit(1).cast("long"), due[often])).alias(copy)
+    return repeated.select(*[rows[c] for c in docs.columns], each).select(docs.columns)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
