@@ -31,6 +31,7 @@ _RAISE = np.uint64(127) << np.arange(0, 64, 16, dtype=np.uint64)
 _SHIFT = np.arange(0, 64, 16, dtype=np.uint64)
 _FIELD = np.uint64(0xFFFF)
 _WEIGH_EVERY = 16
+_SLICE = 256
 # Confidence of a prediction after a miss (0-3) and after a hit (4-7), in bits 16-17.
 _NEXT = np.array([0, 0, 0, 1, 1, 2, 3, 3]) << 16
 
@@ -133,13 +134,19 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         out[np.arange(lanes), at] = low >> np.uint32(24)
         at += 1
         low <<= np.uint32(8)
-    lit = np.stack([ids & 255, ids >> 8], axis=2).astype(np.uint8).transpose(1, 0, 2)
-    by_lane = outcomes.T
-    inside = np.arange(steps)[None, :] < sizes[:, None]
-    mask = np.stack([(by_lane >= 2) & inside, (by_lane == 3) & inside], axis=2)
-    literal = lit[mask]
-    cuts = np.append(0, np.cumsum(mask.reshape(lanes, -1).sum(axis=1)))
-    return [(out[i, : at[i]].tobytes(), literal[cuts[i] : cuts[i + 1]].tobytes()) for i in range(lanes)]
+    coded = []
+    for first in range(0, lanes, _SLICE):  # a part of the lanes at a time, for memory
+        some = slice(first, first + _SLICE)
+        missed = outcomes[:, some].T
+        inside = np.arange(steps)[None, :] < sizes[some, None]
+        mask = np.stack([(missed >= 2) & inside, (missed == 3) & inside], axis=2)
+        own = np.ascontiguousarray(ids[:, some].T)
+        literal = np.stack([own & 255, own >> 8], axis=2).astype(np.uint8)[mask]
+        cuts = np.append(0, np.cumsum(mask.reshape(len(mask), -1).sum(axis=1))).tolist()
+        coded += [
+            (out[first + i, : at[first + i]].tobytes(), literal[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, cuts[1:]))
+        ]
+    return coded
 
 
 def _settled(low: np.ndarray, span: np.ndarray, n: int) -> np.ndarray:
@@ -171,7 +178,7 @@ def decode(coded: list[tuple[bytes, bytes]], sizes: list[int]) -> list[np.ndarra
     sizes = _lengths(sizes)
     steps, lanes = int(sizes[0]), len(coded)
     stream = _padded([c for c, _ in coded], 8)
-    literal = _padded([b for _, b in coded], 4).astype(np.int32)
+    literal = _padded([b for _, b in coded], 4)
     model = _Model(lanes)
     low, span = np.zeros(lanes, np.uint32), np.full(lanes, 0xFFFFFFFF, np.uint32)
     code = np.zeros(lanes, np.uint32)
@@ -193,7 +200,8 @@ def decode(coded: list[tuple[bytes, bytes]], sizes: list[int]) -> list[np.ndarra
         below = ((sums >> shift) & _FIELD) - picked
         low[:n] += unit * below.astype(np.uint32)
         span[:n] = unit * picked.astype(np.uint32)
-        first, second = literal.take(lit_at[:n]), literal.take(lit_at[:n] + 1)
+        first = literal.take(lit_at[:n]).astype(np.int32)
+        second = literal.take(lit_at[:n] + 1).astype(np.int32)
         own = np.where(outcome == 0, model.id2, model.id1)
         near = outcome == 2
         own = np.where(near, model.recent.take(model.base0[:n] + first), own)

@@ -217,14 +217,18 @@ class UnitEncoder:
         if self.kept_bytes() > KEPT_BYTES:
             self.clear()
         cuts = Cuts(data, offsets, self.words)
-        hashes, places, inverse = np.unique(cuts.hashes, return_index=True, return_inverse=True)
+        order = np.argsort(cuts.hashes)
+        rising = cuts.hashes[order]
+        head = np.append(True, rising[1:] != rising[:-1])
+        hashes, places, group = rising[head], order[head], np.cumsum(head) - 1
         at = np.searchsorted(self.known, hashes)
         new = np.append(self.known, np.uint64(0))[at] != hashes
         new |= at == len(self.known)
         if new.any():
             self.learn(cuts, hashes[new], places[new])
             at = np.searchsorted(self.known, hashes)
-        slots = at[inverse]
+        slots = np.empty(len(order), np.int64)
+        slots[order] = at[group]
         n = self.counts.take(slots).astype(np.int64)
         ends = np.cumsum(n)
         ids = self.table.take(np.arange(ends[-1]) + np.repeat(self.starts.take(slots) - (ends - n), n))
