@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 HotKeys = dict[str, DataFrame]
 
 
+# Values a sketch keeps in a task, and values it reports. A value with over a
+# 30,000th of the rows is always among them.
+TRACKED, REPORTED = 262_144, 65_536
+
+
 def find_hot_keys(
     rows: DataFrame, keys: Sequence[str], rows_per_slot: int
 ) -> HotKeys:
@@ -18,23 +23,29 @@ def find_hot_keys(
     Values of each key column with more than ``rows_per_slot`` rows, and the
     slots each of them needs. Columns without such a value have no entry.
 
-    One narrow scan counts all columns at once, combining on the map side, so a
-    hot value is one row per task. At most ``count(rows) / rows_per_slot`` values
-    per column can qualify: that bounds what reaches the driver, and later the
-    broadcast (10^12 rows: 500,000 short records at the very most).
+    One narrow scan keeps a heavy-hitter sketch of fixed size per column and task;
+    the sketches are merged, and no key is shuffled. Counts are exact while a task
+    sees fewer than ``TRACKED`` values; beyond that they are upper estimates, and
+    a value too rare for the sketch is left to AQE. At most ``REPORTED`` values per
+    column reach the driver, and later the broadcast.
     """
     spark = rows.sparkSession
-    counted = (
-        rows.select(*keys)
-        .groupingSets([[F.col(k)] for k in keys], *keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_slot)
-    )
-    found = counted.collect()
+    kinds = {key: rows.schema[key].dataType for key in keys}
+    plain = [
+        (F.hex(key) if isinstance(kinds[key], T.BinaryType) else F.col(key)).alias(f"_{i}")
+        for i, key in enumerate(keys)
+    ]
+    top = [
+        F.expr(f"filter(approx_top_k(_{i}, {REPORTED}, {TRACKED}), t -> t.count > {int(rows_per_slot)})")
+        for i in range(len(keys))
+    ]
+    found = rows.select(*plain).agg(*[t.alias(key) for t, key in zip(top, keys)]).first()
     hot = {}
-    for key in keys:
+    for key, values in zip(keys, found):
         # A missing key matches nothing; it needs no slots.
-        values = [(r[key], -(-r["_n"] // rows_per_slot)) for r in found if r[key] is not None]
+        values = [(v["item"], -(-v["count"] // rows_per_slot)) for v in values or [] if v["item"] is not None]
+        if isinstance(kinds[key], T.BinaryType):
+            values = [(bytearray.fromhex(value), slots) for value, slots in values]
         if values:
             schema = rows.select(key).schema.add("_slots", T.IntegerType())
             hot[key] = spark.createDataFrame(values, schema)

@@ -69,6 +69,23 @@ def test_columns_without_hot_values_have_no_entry(spark):
     assert find_hot_keys(same, ["key", "id"], rows_per_slot=100) == {}
 
 
+def test_hot_keys_come_from_a_sketch(spark, monkeypatch):
+    """A third of the rows on one value, far more values than the sketch keeps."""
+    monkeypatch.setattr(spread, "TRACKED", 1024)
+    monkeypatch.setattr(spread, "REPORTED", 100)
+    rows = spark.range(0, 90_000, 1, 7).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"),
+        F.when(F.col("id") % 2 == 0, F.lit(b"\x00\xff")).otherwise(F.encode(F.col("id").cast("string"), "utf-8")).alias("raw"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    hot = find_hot_keys(rows, ["key", "raw", "none"], rows_per_slot=10_000)
+    assert set(hot) == {"key", "raw"}
+    (key,), (raw,) = hot["key"].collect(), hot["raw"].collect()
+    assert key["key"] == -1 and key["_slots"] in (3, 4)
+    assert bytes(raw["raw"]) == b"\x00\xff" and raw["_slots"] in (5, 6)
+    assert find_hot_keys(rows.limit(0), ["key", "none"], 1) == {}
+
+
 @pytest.fixture()
 def many_partitions(spark):
     """Small test tables would be coalesced into one range partition."""
