@@ -6,9 +6,12 @@ A listing has ``table_name, file_name, path, length``; manifest files have
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from urllib.parse import unquote
+import hashlib
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tagwright.functions.columns import file_name, folder_name, megabytes
@@ -70,10 +73,55 @@ def as_listing(files: DataFrame) -> DataFrame:
     )
 
 
+# Files up to this size are one row of a scan; longer ones are read in pieces.
+WHOLE_BYTES = 64 * 1024 * 1024
+PIECE_BYTES = 8 * 1024 * 1024
+
+
 def file_digests(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SHA-256 of each parquet file; one file per row, read whole by its task."""
-    files = _files(spark, data_dir).filter(_in_table_folder(spark, data_dir))
-    return files.select("path", content_digest(F.col("content")).alias("sha256"))
+    """SHA-256 of each parquet file directly in a table folder, empty ones too.
+
+    Files of at most ``WHOLE_BYTES`` are read by Spark; the size is pushed down to
+    the scan, which opens no other file. Longer ones are streamed by the task that
+    has their name, in pieces, so a task's memory does not grow with a file.
+    """
+    kept = _in_table_folder(spark, data_dir)
+    short = _files(spark, data_dir).filter(kept & (F.col("length") <= WHOLE_BYTES))
+    listing = file_listing(spark, data_dir).select("path", "length")
+    empty = listing.filter(F.col("length") == 0).select("path", content_digest(F.lit(b"")).alias("sha256"))
+    long = listing.filter(F.col("length") > WHOLE_BYTES).select("path")
+    # One file is one unit of work: a name each, dealt over the tasks.
+    dealt = long.repartition(spark.sparkContext.defaultParallelism, "path")
+    streamed = dealt.mapInArrow(_stream_digests, "path string, sha256 string")
+    whole = short.select("path", content_digest(F.col("content")).alias("sha256"))
+    return whole.unionByName(empty).unionByName(streamed)
+
+
+def _stream_digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            with _open_stream(path) as stream:
+                while piece := stream.read(PIECE_BYTES):
+                    digest.update(piece)
+            row = {"path": [path], "sha256": [digest.hexdigest()]}
+            yield pa.RecordBatch.from_pydict(row, schema=_DIGESTS)
+
+
+_DIGESTS = pa.schema([("path", pa.string()), ("sha256", pa.string())])
+
+
+def _open_stream(path: str) -> pa.NativeFile:
+    """A file by its full name: local, HDFS or an object store. Names are as a scan
+    shows them, so one slash stands for a host that is not there."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if not rest.startswith("//"):
+        rest = "//" + rest
+    system, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+    return system.open_input_stream(name)
 
 
 def content_digest(content: Column) -> Column:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import shutil
 
 import pytest
 
@@ -69,6 +70,50 @@ def test_copies_further_down_do_not_count(spark, tmp_path, monkeypatch):
     assert [r["sha256"] for r in digests] == [hashlib.sha256(b"xxx").hexdigest()]
 
 
+def test_digests_of_whole_and_streamed_files(spark, folder, monkeypatch):
+    root = files.qualified(spark, folder)
+    want = {
+        name.split("/", 1)[1]: hashlib.sha256((bytes(range(1, 251)) * (size // 250) + b"x" * (size % 250))).hexdigest()
+        for name, size in SIZES.items()
+        if name.count("/") == 1 and name.endswith(".parquet") and not name.endswith("/a.parquet")
+    }
+    for whole in (files.WHOLE_BYTES, 6, 0):  # all whole, some streamed, all that are not empty
+        monkeypatch.setattr(files, "WHOLE_BYTES", whole)
+        got = as_dicts(files.file_digests(spark, folder))
+        assert len(got) == 6 and all(r["path"].startswith("file:") for r in got), root
+        names = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in got}
+        assert {n: d for n, d in names.items() if n != "a.parquet"} == want
+
+
+def test_digest_of_a_file_over_two_gigabytes(spark, tmp_path):
+    path = tmp_path / "data" / "verified_contracts" / "long.parquet"
+    path.parent.mkdir(parents=True)
+    size = 2**31 + 12_345
+    with open(path, "wb") as file:  # a hole takes no disk
+        file.truncate(size)
+        file.seek(2**31)
+        file.write(b"end")
+    want = hashlib.sha256()
+    with open(path, "rb") as file:
+        while piece := file.read(1 << 20):
+            want.update(piece)
+    digests = as_dicts(files.file_digests(spark, str(tmp_path / "data")))
+    assert [r["sha256"] for r in digests] == [want.hexdigest()]
+
+
+def test_digests_of_the_given_tables(spark, tmp_path):
+    """Real files: each table of the test data in a folder of its own."""
+    for table in ("documents", "orders", "pages"):
+        (tmp_path / table).mkdir()
+        shutil.copyfile(f"/root/testdata/sf0.01/{table}.parquet", tmp_path / table / "0.parquet")
+    got = {r["path"].split("/")[-2]: r["sha256"] for r in as_dicts(files.file_digests(spark, str(tmp_path)))}
+    want = {}
+    for table in ("documents", "orders", "pages"):
+        with open(f"/root/testdata/sf0.01/{table}.parquet", "rb") as file:
+            want[table] = hashlib.sha256(file.read()).hexdigest()
+    assert got == want
+
+
 def test_required_tables(spark, folder):
     listing = files.file_listing(spark, folder)
     assert files.check_required(listing) == {
