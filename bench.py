@@ -15,7 +15,7 @@ import time
 
 from tagwright.plans.registry import REGISTRY
 from tagwright.plans.sample import TABLES, Sample
-from tagwright.session import local_session
+from tagwright.session import local_session, release_scratch, scratch
 
 HEADLINE = (
     "label_rows",
@@ -46,9 +46,10 @@ def run(sample: Sample, name: str) -> float:
     fresh = Sample(sample.spark, sample.sf_dir)
     for table in TABLES:
         setattr(fresh, table, getattr(sample, table))
-    started = time.perf_counter()
-    REGISTRY[name].build(fresh).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - started
+    with scratch(sample.spark):
+        started = time.perf_counter()
+        REGISTRY[name].build(fresh).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - started
 
 
 def main() -> None:
@@ -60,6 +61,7 @@ def main() -> None:
     for name in HEADLINE:
         run(sample, name)
     seconds = {name: round(min(run(sample, name) for _ in range(2)), 3) for name in HEADLINE}
+    release_scratch(spark)
     print(
         json.dumps(
             {

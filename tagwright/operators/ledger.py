@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagwright.functions.columns import one_line, percentage
 from tagwright.operators.spread import HotKeys, spread_join
-from tagwright.session import write_shared
+from tagwright.session import scratch, write_shared
 
 SUCCESS, FAILED, PENDING = "success", "failed", "pending"
 VALIDATION_ERROR = "Validation failed"
@@ -262,13 +262,14 @@ def failed_report(state: DataFrame) -> DataFrame:
 
 def export_failed(state: DataFrame, path: str) -> str | None:
     """Write the failure report as CSV with a header; nothing when none failed.
-    The failed keys are computed once and kept in the shared folder."""
-    failed = write_shared(failed_keys(state))
-    if failed.isEmpty():
-        return None
-    failed.orderBy(F.desc("attempted_at"), *KEY).write.mode("overwrite").csv(
-        path, header=True, quoteAll=True, escape='"'
-    )
+    The failed keys are computed once and kept in the shared folder meanwhile."""
+    with scratch(state.sparkSession):
+        failed = write_shared(failed_keys(state))
+        if failed.isEmpty():
+            return None
+        failed.orderBy(F.desc("attempted_at"), *KEY).write.mode("overwrite").csv(
+            path, header=True, quoteAll=True, escape='"'
+        )
     return path
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,9 +73,85 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OWNER: ContextVar[str | None] = ContextVar("tagwright_scratch", default=None)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tagwright"
+
+
+def _application(spark: SparkSession) -> str:
+    """The owner's name of this application; the prefix tells owned folders apart
+    from whatever else lies there."""
+    return f"owner-{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession) -> str:
-    """A new folder name below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tagwright/{uuid.uuid4().hex}"
+    """A new folder name below the shared folder, in the folder of its owner: the
+    innermost open ``scratch``, else the application."""
+    owner = _OWNER.get() or _application(spark)
+    return f"{_scratch_root(spark)}/{owner}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Owns the intermediates that are written inside it and removes them at its end,
+    also after an error. Consume what reads them before: a DataFrame is lazy.
+
+    The folder's name begins with the application's, so that ``sweep_scratch`` of a
+    later application finds what a killed one left.
+    """
+    owner = f"{_application(spark)}-{uuid.uuid4().hex}"
+    outer = _OWNER.set(owner)
+    path = f"{_scratch_root(spark)}/{owner}"
+    try:
+        yield path
+    finally:
+        _OWNER.reset(outer)
+        _remove(spark, path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all intermediates of this application, at its end."""
+    own = re.compile(re.escape(_application(spark)) + "(-[0-9a-f]{32})?")
+    for name, folder in _owned(spark):
+        if own.fullmatch(name):
+            _remove(spark, folder)
+
+
+def sweep_scratch(spark: SparkSession, idle_hours: float) -> list[str]:
+    """Remove the folders of other applications in which nothing was begun or ended
+    for ``idle_hours``, and return their names. Others may be at work in the shared
+    folder: take more hours than the longest job. Only folders that an owner made
+    are looked at."""
+    if idle_hours <= 0:
+        raise ValueError("idle_hours must be above the length of the longest job")
+    own = _application(spark)
+    oldest = time.time() - idle_hours * 3600
+    swept = []
+    for name, folder in _owned(spark):
+        if name != own and not name.startswith(f"{own}-") and _last_change(spark, folder) < oldest:
+            _remove(spark, folder)
+            swept.append(name)
+    return swept
+
+
+def _owned(spark: SparkSession) -> list[tuple[str, str]]:
+    folders = folders_like(spark, f"{_scratch_root(spark)}/owner-*")
+    return [(folder.rstrip("/").rsplit("/", 1)[1], folder) for folder in folders]
+
+
+def _last_change(spark: SparkSession, folder: str) -> float:
+    """When the folder, or a table in it, last got a file, in seconds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [system.getFileStatus(target), *system.listStatus(target)]
+    return max(f.getModificationTime() for f in found) / 1000
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from tagwright.operators import ledger
 from tagwright.operators.batching import RETRY_SHARE, payloads, running_rates
 from tagwright.operators.labels import LABEL_ORDER, label_rows, one_per_key
 from tagwright.operators.ordering import order_rows
-from tagwright.session import write_shared
+from tagwright.session import scratch, write_shared
 from tagwright.streaming.journal import BATCH, OUTCOMES, RETRY
 from tagwright.streaming.progress import ProgressLog
 from tagwright.streaming.store import DeliveryStore, bucket_of
@@ -183,6 +183,10 @@ class DeliveryRun:
         """Label one micro-batch, write its partitions and commit them."""
         if batch_id < BACKLOG_BATCH and self.store.committed_runs(batch_id):
             return  # committed, but the stream was killed before it took note
+        with scratch(self.spark):
+            self._deliver(verified, batch_id)
+
+    def _deliver(self, verified: DataFrame, batch_id: int) -> None:
         started = self.clock()
         run_id, commit = self._begun_in(batch_id), self.store.journal.next_commit()
 
