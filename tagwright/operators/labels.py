@@ -56,7 +56,10 @@ def joined(
 ) -> DataFrame:
     """Verified contracts with their deployment and compilation.
 
-    Both dimensions are filtered and pruned before their join. ``carry`` names
+    Both dimensions are filtered and pruned before their join. Compilations come
+    first: their columns are few and short, while addresses and hashes do not
+    compress and are shuffled once per deployment, not again with every row.
+    Rows of one deployment leave the join side by side. ``carry`` names
     further deployment columns to pass through; ``hot`` are the hot values of
     the fact table's keys (``find_hot_keys``); without them skew is left to AQE.
     """
@@ -74,8 +77,8 @@ def joined(
         F.col("id").alias("compilation_id"), "language", "compiler", "version", "name"
     )
     spread = {"hot": hot or {}, "spread_by": ["id"]}
-    with_deployment = spread_join(fact, deployed, ["deployment_id"], **spread)
-    return spread_join(with_deployment, compiled, ["compilation_id"], **spread)
+    with_compilation = spread_join(fact, compiled, ["compilation_id"], **spread)
+    return spread_join(with_compilation, deployed, ["deployment_id"], **spread)
 
 
 def label_rows(
