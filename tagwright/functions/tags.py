@@ -23,6 +23,9 @@ TAGS = (
     "source_code_verified",
 )
 
+# Those of them that are hex text.
+TAG_HASHES = ("deployer_address", "deployment_tx")
+
 MIN_TAGS = 2
 
 

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagwright.functions.columns import prefixed_hex
-from tagwright.functions.tags import raw_tag_struct
+from tagwright.functions.columns import packed_hex, prefixed_hex, unpacked_hex
+from tagwright.functions.tags import TAG_HASHES, raw_tag_struct
 from tagwright.operators.ordering import order_rows
 from tagwright.operators.spread import HotKeys, spread_join
 
@@ -123,15 +123,33 @@ def one_per_key(labels: DataFrame) -> DataFrame:
 
     ``min_by`` combines on the map side, so a key with very many labels is one
     row per task when it is shuffled. Run it on valid labels only: an invalid
-    one must not hide a valid one.
+    one must not hide a valid one. All columns are carried, so select those that
+    are needed before; of ``LABEL_ORDER``, the columns that are there decide.
+
+    Addresses and hashes travel as the bytes they stand for, the address in the
+    key alone; one that is written otherwise than in upper case goes along.
     """
-    row = F.struct(*[F.col(c) for c in labels.columns])
-    order = F.struct(*[F.col(c) for c in LABEL_ORDER])
-    return (
-        labels.groupBy(F.lower("address").alias("_address"), F.col("chain_id").alias("_chain"))
-        .agg(F.min_by(row, order).alias("_row"))
-        .select("_row.*")
+    lower = F.lower("address")
+    digits = F.unhex(F.substr(lower, F.lit(3)))
+    is_hex = F.lower(prefixed_hex(digits)) == lower
+    shown = F.coalesce(prefixed_hex(F.col("_bytes")), F.col("_text"))
+    keyed = labels.withColumn("_bytes", F.when(is_hex, digits)).withColumn(
+        "_text", F.when(is_hex, None).otherwise(lower)
     )
+    address = F.col("address")
+    # Where an address sorts against the usual way to write its key.
+    side = F.when(address < shown, -1).when(address > shown, 1).otherwise(0)
+    unusual = F.when(address == shown, None).otherwise(address)
+    hashes = [c for c in TAG_HASHES if c in labels.columns]
+    values = {c: packed_hex(F.col(c)) if c in hashes else F.col(c) for c in labels.columns}
+    values["address"] = unusual
+    order = {c: F.struct(side, unusual) if c == "address" else F.col(c) for c in LABEL_ORDER}
+    row = F.struct(*[v.alias(c) for c, v in values.items() if c != "chain_id"])
+    first = F.min_by(row, F.struct(*[v for c, v in order.items() if c in labels.columns and c != "chain_id"]))
+    found = keyed.groupBy("_bytes", "_text", "chain_id").agg(first.alias("_row"))
+    back = {c: unpacked_hex(F.col(f"_row.{c}")) if c in hashes else F.col(f"_row.{c}") for c in values}
+    back |= {"address": F.coalesce("_row.address", shown), "chain_id": F.col("chain_id")}
+    return found.select(*[v.alias(c) for c, v in back.items()])
 
 
 def label_page(labels: DataFrame, limit: int, offset: int = 0) -> DataFrame:

@@ -492,9 +492,8 @@ def already_sent_labels(s: Sample) -> DataFrame:
 )
 def delivery_outbox(s: Sample) -> DataFrame:
     prepared = s.engine.prepared(s.engine.unsent_labels(s.sent))
-    return label_ops.one_per_key(prepared.filter("valid")).select(
-        "address", "chain_id", "verified_contract_id"
-    )
+    keys = prepared.filter("valid").select("address", "chain_id", "verified_contract_id")
+    return label_ops.one_per_key(keys)
 
 
 _STEPS = f"""

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tagwright.functions.columns import packed_hex, unpacked_hex
 from tagwright.operators import batching, labels as label_ops, ledger
 from tagwright.operators.labels import LABEL_COLUMNS
 from tagwright.plans.registry import REGISTRY
@@ -31,6 +32,26 @@ def exchanged(df, capsys) -> list[str]:
     return re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", plan(df, capsys))
 
 
+def odd_labels(spark):
+    rows = [
+        (10 * i + j, a, j % 2, f"solc-{j}" if j else None, None, tx)
+        for i, a in enumerate(ODD_ADDRESSES)
+        for j in range(4)
+        for tx in ("0x" + "CD" * 32, "0xcd")[: 1 + j % 2]
+    ]
+    names = "verified_contract_id long, address string, chain_id int, code_compiler string, contract_name string, deployment_tx string"
+    return spark.createDataFrame(rows + [(0, a, None, None, None, None) for a in ODD_ADDRESSES], names)
+
+
+def test_packed_hex_gives_every_text_back(spark):
+    texts = spark.createDataFrame([(a,) for a in ODD_ADDRESSES], "text string")
+    got = texts.select("text", packed_hex(F.col("text")).alias("p")).select(
+        "text", unpacked_hex(F.col("p")).alias("back"), "p.bytes"
+    ).collect()
+    assert all(r["text"] == r["back"] for r in got)
+    assert [r["text"] for r in got if r["bytes"] is not None] == ["0x" + "AB" * 20, "0x"]
+
+
 def test_label_rows_shuffle_hashes_with_deployments_alone(star, capsys):
     rows = label_ops.label_rows(star.verified(), star.deployments(), star.compilations(), "registry")
     wide = [c for c in exchanged(rows, capsys) if "transaction_hash" in c]
@@ -38,6 +59,36 @@ def test_label_rows_shuffle_hashes_with_deployments_alone(star, capsys):
     assert not any("created_at" in c for c in wide)
 
 
+def test_one_per_key_equals_a_plain_sort(spark):
+    labels = odd_labels(spark)
+    first = {}
+    low = lambda v: (v is not None, v if v is not None else 0)
+    for r in sorted(
+        labels.collect(),
+        key=lambda r: tuple(low(r[c]) for c in label_ops.LABEL_ORDER),
+    ):
+        first.setdefault((r["address"] and r["address"].lower(), r["chain_id"]), r)
+    chosen = ("verified_contract_id", "chain_id", "address", "code_compiler", "contract_name")
+    got = {tuple(r[c] for c in chosen) for r in label_ops.one_per_key(labels).collect()}
+    assert got == {tuple(r[c] for c in chosen) for r in first.values()}
+    assert label_ops.one_per_key(labels).columns == labels.columns
+
+
+def test_one_per_key_of_the_key_columns_alone(spark):
+    columns = ["address", "chain_id", "verified_contract_id"]
+    got = label_ops.one_per_key(odd_labels(spark).select(columns))
+    assert in_order(as_dicts(got)) == in_order(as_dicts(label_ops.one_per_key(odd_labels(spark)).select(columns)))
+
+
+def test_one_per_key_shuffles_the_bytes_of_a_key(spark, capsys):
+    (shuffled,) = exchanged(label_ops.one_per_key(odd_labels(spark)), capsys)
+    assert "_bytes" in shuffled
+
+
+def test_outbox_carries_keys_alone(spark, capsys):
+    assert "to_json" not in plan(REGISTRY["delivery_outbox"](spark, SF_DIR), capsys)
+
+
 def test_unsent_labels_shuffle_hashes_with_deployments_alone(spark, capsys):
     wide = [c for c in exchanged(REGISTRY["unsent_labels"](spark, SF_DIR), capsys) if "transaction_hash" in c]
     assert wide
