@@ -162,9 +162,25 @@ def label_page(labels: DataFrame, limit: int, offset: int = 0) -> DataFrame:
 
 
 def deep_label_page(labels: DataFrame, limit: int, offset: int) -> DataFrame:
-    """The same page, read by position from a range-ordered table that is written
-    first; its cost does not depend on the offset."""
-    return order_rows(labels, LABEL_ORDER).page(limit, offset)
+    """The same page, found by position in a range-ordered table of the ids, which
+    is written first; then only the labels between its first and last id are built
+    and put in order. For many pages, store whole labels (``order_rows``)."""
+    row_id = LABEL_ORDER[0]
+    ordered = order_rows(labels.select(row_id), [row_id])
+    ids = ordered.page(limit, offset)
+    first, last, rows, missing = ids.agg(
+        F.min(row_id), F.max(row_id), F.count(F.lit(1)), F.count_if(F.col(row_id).isNull())
+    ).first()
+    if rows == 0:
+        return labels.filter(F.lit(False))
+    here, none = F.col(row_id), F.lit(False)
+    known = here.between(F.lit(first), F.lit(last)) if first is not None else none
+    wanted = known | here.isNull() if missing else known
+    earlier = here.isNotNull() if first is None else here < F.lit(first)
+    skipped = ordered.rows.filter(earlier).count()
+    return labels.filter(wanted).orderBy(*[F.col(c).asc_nulls_last() for c in LABEL_ORDER]).offset(
+        offset - skipped
+    ).limit(rows)
 
 
 def preview(labels: DataFrame, limit: int = 5) -> DataFrame:

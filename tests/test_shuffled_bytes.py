@@ -89,6 +89,30 @@ def test_outbox_carries_keys_alone(spark, capsys):
     assert "to_json" not in plan(REGISTRY["delivery_outbox"](spark, SF_DIR), capsys)
 
 
+@pytest.mark.parametrize(("limit", "offset"), [(3, 0), (4, 3), (5, 9), (6, 30), (50, 2), (5, 200)])
+def test_deep_page_with_repeated_and_missing_ids(spark, limit, offset):
+    labels = odd_labels(spark).withColumn(
+        "verified_contract_id",
+        F.when(F.col("verified_contract_id") < 60, F.floor(F.col("verified_contract_id") / 6)),
+    )
+    low = lambda v: (v is None, v if v is not None else 0)
+    chosen = [tuple(r[c] for c in label_ops.LABEL_ORDER) for r in labels.collect()]
+    want = sorted(chosen, key=lambda t: tuple(map(low, t)))[offset : offset + limit]
+    got = label_ops.deep_label_page(labels, limit, offset)
+    assert got.columns == labels.columns
+    assert [tuple(r[c] for c in label_ops.LABEL_ORDER) for r in got.collect()] == want
+
+
+def test_deep_page_orders_ids_alone(star, monkeypatch):
+    seen = []
+    plain = label_ops.order_rows
+    monkeypatch.setattr(label_ops, "order_rows", lambda df, *a: seen.append(df.columns) or plain(df, *a))
+    rows = label_ops.label_rows(star.verified(), star.deployments(), star.compilations(), "registry")
+    assert rows.columns == list(LABEL_COLUMNS)
+    label_ops.deep_label_page(rows, 2, 1).collect()
+    assert seen == [["verified_contract_id"]]
+
+
 def test_unsent_labels_shuffle_hashes_with_deployments_alone(spark, capsys):
     wide = [c for c in exchanged(REGISTRY["unsent_labels"](spark, SF_DIR), capsys) if "transaction_hash" in c]
     assert wide
