@@ -165,21 +165,24 @@ def deployments_with_sent(
     )
 
 
+_RESULT = ("status", "uid", "tx_hash", "error_message", "reported_at")
+
+
+def _result_columns(result: str) -> list[Column]:
+    return [F.col(f"{result}.{n}").alias(c) for n, c in zip(_RESULT, DELIVERY_COLUMNS[1:])]
+
+
+def _last_result() -> Column:
+    return F.max_by(F.struct(*_RESULT), "seq")
+
+
 def latest_results(results: DataFrame) -> DataFrame:
     """One delivery result per key: ``result_status``, ``uid``, ``tx_hash``,
     ``error_message``; the last one by ``seq`` when several came back."""
-    rest = F.struct("status", "uid", "tx_hash", "error_message", "reported_at")
     return (
         results.groupBy(F.lower("address").alias("address"), "chain_id")
-        .agg(F.max_by(rest, "seq").alias("_result"))
-        .select(
-            *KEY,
-            F.col("_result.status").alias("result_status"),
-            F.col("_result.uid").alias("result_uid"),
-            F.col("_result.tx_hash").alias("result_tx_hash"),
-            F.col("_result.error_message").alias("result_error"),
-            F.col("_result.reported_at").alias("reported_at"),
-        )
+        .agg(_last_result().alias("_result"))
+        .select(*KEY, *_result_columns("_result"))
     )
 
 
@@ -197,14 +200,25 @@ def deployments_with_delivery(
     deployments: DataFrame, sent: DataFrame, results: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Deployments with ``already_sent`` and their delivery result, to be carried
-    into the label rows. Ledger and results meet by key first, so the
-    deployments are shuffled once."""
-    marked = sent.withColumn("_sent", F.lit(True))
-    outcome = marked.join(latest_results(results), list(KEY), "full")
-    return _join_deployments(deployments, outcome, "left", hot).select(
+    into the label rows. Ledger and results are folded by key together and as the
+    deployments store it, so that nothing is shuffled again before the join."""
+    reported = results.select(
+        F.lower("address").alias("address"), "chain_id", "seq", *_RESULT
+    ).withColumn("_sent", F.lit(None).cast("boolean"))
+    marked = sent.select(*KEY).withColumn("_sent", F.lit(True))
+    outcome = (
+        _binary_key(reported.unionByName(marked, allowMissingColumns=True))
+        .filter(F.col("address").isNotNull())  # no deployment has it
+        .groupBy(*KEY)
+        .agg(_last_result().alias("_result"), F.max("_sent").alias("_sent"))
+    )
+    joined = spread_join(
+        deployments, outcome, list(KEY), "left", hot=hot or {}, spread_by=["id"]
+    )
+    return joined.select(
         *deployments.columns,
         F.coalesce("_sent", F.lit(False)).alias("already_sent"),
-        *DELIVERY_COLUMNS[1:],
+        *_result_columns("_result"),
     )
 
 

@@ -112,13 +112,13 @@ class Sample:
     @cached_property
     def attempts(self) -> DataFrame:
         """About three attempts per key; ``seq`` is the write order."""
-        keyed = self.deployments.filter("address is not null and chain_id is not null").selectExpr(
-            "id", "'0x' || lower(hex(address)) as address", "chain_id"
+        keyed = self.deployments.filter("address is not null and chain_id is not null").select(
+            "id", "address", "chain_id"
         )
         events = self.source("events").withColumn("id", F.expr("event_id div 3"))
         return events.join(keyed, "id").selectExpr(
             "event_id as seq",
-            "address",
+            "'0x' || lower(hex(address)) as address",
             "chain_id",
             "case event_type when 'purchase' then 'success' when 'error' then 'failed' "
             "else 'pending' end as status",

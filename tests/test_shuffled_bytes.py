@@ -117,3 +117,23 @@ def test_unsent_labels_shuffle_hashes_with_deployments_alone(spark, capsys):
     wide = [c for c in exchanged(REGISTRY["unsent_labels"](spark, SF_DIR), capsys) if "transaction_hash" in c]
     assert wide
     assert not any("created_at" in c for c in wide)
+
+
+def test_delivery_folds_results_and_ledger_by_bytes(spark, capsys):
+    deployments = spark.createDataFrame(
+        [(1, 7, b"\xab\xcd"), (2, 7, b"\x01"), (3, 8, b"\x01"), (4, None, b"\x01"), (5, 7, None), (5, 7, b"\xab\xcd")],
+        "id long, chain_id int, address binary",
+    )
+    results = spark.createDataFrame(
+        [(1, "0xABCD", 7, "failed"), (2, "0xabcd", 7, "success"), (3, "0x1", 7, "success"), (4, None, 7, "success"), (5, "0x01", None, "success"), (6, "0x01", 8, "failed")],
+        "seq long, address string, chain_id int, status string",
+    ).selectExpr("*", "'u' || seq as uid", "string(null) as tx_hash", "string(null) as error_message", "cast(null as timestamp_ntz) as reported_at")
+    sent = spark.createDataFrame([("0x01", 7), ("0x01", 8)], "address string, chain_id int")
+    df = ledger.deployments_with_delivery(deployments, sent, results)
+    got = {(r["id"], r["address"] and bytes(r["address"]).hex(), r["already_sent"], r["result_status"], r["result_uid"]) for r in df.collect()}
+    assert got == {
+        (1, "abcd", False, "success", "u2"), (2, "01", True, None, None), (3, "01", True, "failed", "u6"),
+        (4, "01", False, None, None), (5, None, False, None, None), (5, "abcd", False, "success", "u2"),
+    }
+    assert df.count() == 6
+    assert "FullOuter" not in plan(df, capsys)
