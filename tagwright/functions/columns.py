@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The characters that count as white space when a contract name
 # is stripped (ASCII controls, separators, and the Unicode spaces).
@@ -34,6 +36,25 @@ def unpacked_hex(packed: Column) -> Column:
     return F.coalesce(prefixed_hex(packed["bytes"]), packed["text"])
 
 
+def with_packed_hex(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns, or fields as in ``tags.deployment_tx``, packed in place."""
+    return _changed(rows, names, packed_hex)
+
+
+def with_unpacked_hex(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return _changed(rows, names, unpacked_hex)
+
+
+def _changed(
+    rows: DataFrame, names: Sequence[str], change: Callable[[Column], Column]
+) -> DataFrame:
+    for name in names:
+        column, _, field = name.partition(".")
+        value = change(F.col(name))
+        rows = rows.withColumn(column, F.col(column).withField(field, value) if field else value)
+    return rows
+
+
 def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

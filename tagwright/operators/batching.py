@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagwright.functions.columns import percentage, seconds_between
+from tagwright.functions.columns import (
+    packed_hex,
+    percentage,
+    seconds_between,
+    unpacked_hex,
+    with_packed_hex,
+)
+from tagwright.functions.tags import TAG_HASHES
 from tagwright.operators.ordering import with_running_totals
 
 # A batch below this success share warns; a batch with a smaller
@@ -87,12 +94,30 @@ def payloads(batches: DataFrame) -> DataFrame:
     out the labels that were sent before first.
 
     The list is as long as a batch at most, because batches are cut by position.
+    Addresses and hashes are shuffled as the bytes they stand for.
     """
-    label = F.struct("address", F.col("chain_ref").alias("chain_id"), "tags")
-    return batches.groupBy("batch_id").agg(
+    packed = with_packed_hex(batches, [f"tags.{tag}" for tag in TAG_HASHES])
+    label = F.struct(
+        packed_hex(F.col("address")).alias("address"),
+        F.col("chain_ref").alias("chain_id"),
+        "tags",
+    )
+    lists = packed.groupBy("batch_id").agg(
         F.collect_list(F.when(F.col("valid"), label)).alias("labels"),
         F.count_if(~F.col("valid")).alias("n_skipped"),
     )
+    return lists.withColumn("labels", F.transform("labels", _unpacked_label))
+
+
+def _unpacked_label(label: Column) -> Column:
+    tags = label["tags"]
+    for tag in TAG_HASHES:
+        tags = tags.withField(tag, unpacked_hex(label["tags"][tag]))
+    return F.struct(
+        unpacked_hex(label["address"]).alias("address"),
+        label["chain_id"].alias("chain_id"),
+        tags.alias("tags"),
+    )
 
 
 def payload_sizes(payload: DataFrame) -> DataFrame:

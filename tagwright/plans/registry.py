@@ -20,6 +20,7 @@ DELAY_SECONDS = 1.0
 PAGE = (500, 1_000)  # rows, offset
 DEEP_PAGE = (500, 20_000)
 PREVIEW_ROWS = 100
+DELIVERED = ("already_sent", "valid", "result_status")  # what tells how a label fared
 
 LABEL_LIST = ", ".join(LABEL_COLUMNS)
 TAG_LIST = ", ".join(TAGS)
@@ -327,7 +328,7 @@ _RATE = "cast(n_successful as double) / n_rows * 100 as success_rate"
 
 @query(f"select *, {_RATE} from outcome")
 def batch_outcome(s: Sample) -> DataFrame:
-    return batching.batch_outcome(s.delivery_batches())
+    return batching.batch_outcome(s.delivery_batches(*DELIVERED))
 
 
 @query(
@@ -340,7 +341,7 @@ def batch_outcome(s: Sample) -> DataFrame:
           from outcome)"""
 )
 def batch_running_rate(s: Sample) -> DataFrame:
-    return batching.running_rates(batching.batch_outcome(s.delivery_batches()))
+    return batching.running_rates(batching.batch_outcome(s.delivery_batches(*DELIVERED)))
 
 
 @query(
@@ -350,7 +351,9 @@ def batch_running_rate(s: Sample) -> DataFrame:
     from delivery where not already_sent group by batch_id"""
 )
 def batch_payload_sizes(s: Sample) -> DataFrame:
-    batches = s.delivery_batches("address", "chain_ref", "tags").filter(~F.col("already_sent"))
+    batches = s.delivery_batches(
+        "already_sent", "valid", "address", "chain_ref", "tags"
+    ).filter(~F.col("already_sent"))
     return batching.payload_sizes(batching.payloads(batches))
 
 
@@ -361,7 +364,7 @@ def batch_payload_sizes(s: Sample) -> DataFrame:
     from delivery where valid and not already_sent group by batch_id"""
 )
 def batch_payload_results(s: Sample) -> DataFrame:
-    return batching.payload_results(s.delivery_batches("result_uid"))
+    return batching.payload_results(s.delivery_batches("already_sent", "valid", "result_uid"))
 
 
 @query(
@@ -373,7 +376,7 @@ def batch_payload_results(s: Sample) -> DataFrame:
       having count(*) filter (where not delivered) < count(*) * 0.1::double)"""
 )
 def retry_candidates(s: Sample) -> DataFrame:
-    return batching.retry_rows(s.delivery_batches("address", "chain_id")).select(
+    return batching.retry_rows(s.delivery_batches(*DELIVERED, "address", "chain_id")).select(
         "batch_id", "verified_contract_id", "address", "chain_id", "attempt"
     )
 
@@ -406,7 +409,7 @@ def resume_offset(s: Sample) -> DataFrame:
     group by run_id"""
 )
 def session_stats(s: Sample) -> DataFrame:
-    progress = s.delivery_batches("verified_at").groupBy("batch_id").agg(
+    progress = s.delivery_batches("already_sent", "verified_at").groupBy("batch_id").agg(
         F.count_if("already_sent").alias("n_skipped"),
         F.count_if(~F.col("already_sent")).alias("n_processed"),
         F.min("verified_at").alias("started_at"),

@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagwright.engine import LabelEngine
+from tagwright.functions.columns import with_packed_hex, with_unpacked_hex
+from tagwright.functions.tags import TAG_HASHES
 from tagwright.operators import ledger
 from tagwright.operators.ordering import order_rows
 from tagwright.session import write_shared
@@ -174,12 +176,16 @@ class Sample:
 
     def batches(self, rows: DataFrame, *columns: str) -> DataFrame:
         """Ids and the named columns of the rows, with their batch. The id is
-        unique, so it orders the rows by itself."""
+        unique, so it orders the rows by itself. Addresses and hashes are sorted
+        and written as the bytes they stand for."""
         row_id = "verified_contract_id"
-        return order_rows(rows.select(row_id, *columns), [row_id]).with_batch(BATCH_SIZE)
+        hexes = [c for c in ("address",) if c in columns]
+        hexes += [f"tags.{tag}" for tag in TAG_HASHES if "tags" in columns]
+        packed = with_packed_hex(rows.select(row_id, *columns), hexes)
+        return with_unpacked_hex(order_rows(packed, [row_id]).with_batch(BATCH_SIZE), hexes)
 
     def delivery_batches(self, *columns: str) -> DataFrame:
-        return self.batches(self.delivery, "already_sent", "valid", "result_status", *columns)
+        return self.batches(self.delivery, *columns)
 
     # -- file sets ------------------------------------------------------------
 

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import tagwright.plans.sample as sample_module
 from tagwright.functions.columns import packed_hex, unpacked_hex
 from tagwright.operators import batching, labels as label_ops, ledger
 from tagwright.operators.labels import LABEL_COLUMNS
@@ -137,3 +138,40 @@ def test_delivery_folds_results_and_ledger_by_bytes(spark, capsys):
     }
     assert df.count() == 6
     assert "FullOuter" not in plan(df, capsys)
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("session_stats", {"verified_contract_id", "already_sent", "verified_at"}),
+        ("batch_payload_results", {"verified_contract_id", "already_sent", "valid", "result_uid"}),
+    ],
+)
+def test_batches_hold_the_columns_of_their_report(spark, monkeypatch, name, columns):
+    seen = []
+    plain = sample_module.order_rows
+    monkeypatch.setattr(sample_module, "order_rows", lambda df, *a: seen.append(set(df.columns)) or plain(df, *a))
+    REGISTRY[name](spark, SF_DIR)
+    assert seen == [columns]
+
+
+def test_batches_store_bytes_and_show_text(spark, monkeypatch):
+    seen = []
+    plain = sample_module.order_rows
+    monkeypatch.setattr(sample_module, "order_rows", lambda df, *a: seen.append(df.schema["address"].dataType.simpleString()) or plain(df, *a))
+    s = Sample(spark, SF_DIR)
+    got = s.batches(s.labels, "address").select("verified_contract_id", "address")
+    assert seen == ["struct<bytes:binary,text:string>"]
+    assert in_order(as_dicts(got)) == in_order(as_dicts(s.labels.select("verified_contract_id", "address")))
+
+
+def test_payloads_give_labels_back_and_shuffle_bytes(spark, capsys):
+    s = Sample(spark, SF_DIR)
+    rows = s.engine.prepared().withColumn("batch_id", F.col("verified_contract_id") % 3)
+    lists = batching.payloads(rows)
+    (*_, last) = exchanged(lists, capsys)
+    assert "batch_id" in last
+    assert "unhex" in plan(lists, capsys).lower()
+    got = lists.select("batch_id", F.inline("labels"))
+    want = rows.filter("valid").select("batch_id", "address", F.col("chain_ref").alias("chain_id"), "tags")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
